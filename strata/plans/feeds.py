@@ -172,7 +172,7 @@ def products_feed(part: DataFrame) -> DataFrame:
         .alias("product_description_lenght"),
         _s(F.col("p_size") % 5).alias("product_photos_qty"),
         F.when(k % 17 == 0, F.lit("heavy"))
-        .otherwise(F.format_string("%.2f", F.col("p_retailprice") - 1000))
+        .otherwise(F.format_string("%.2f", F.col("p_retailprice") - 950))
         .alias("product_weight_g"),
         _s("p_size").alias("product_length_cm"),
         _s(F.col("p_size") % 7 + 1).alias("product_height_cm"),

@@ -121,7 +121,7 @@ products_feed AS (
          ELSE CAST(p_size * 10 AS VARCHAR) END AS product_description_lenght,
     CAST(p_size % 5 AS VARCHAR) AS product_photos_qty,
     CASE WHEN p_partkey % 17 = 0 THEN 'heavy'
-         ELSE printf('%.2f', p_retailprice - 1000) END AS product_weight_g,
+         ELSE printf('%.2f', p_retailprice - 950) END AS product_weight_g,
     CAST(p_size AS VARCHAR) AS product_length_cm,
     CAST(p_size % 7 + 1 AS VARCHAR) AS product_height_cm,
     CAST(p_size % 11 + 2 AS VARCHAR) AS product_width_cm
@@ -434,5 +434,5 @@ SELECT CASE WHEN net > 0 THEN CASE WHEN had_old THEN 'update_postimage' ELSE 'in
             ELSE CASE WHEN has_new THEN 'update_preimage' ELSE 'delete' END END AS _change_type,
   {CUSTOMER_COLS}
 FROM net JOIN flags ON customer_id IS NOT DISTINCT FROM fk,
-  LATERAL (SELECT unnest(generate_series(1, abs(net)))) AS copies(n)"""
+  LATERAL (SELECT unnest(generate_series(1, CAST(abs(net) AS BIGINT)))) AS copies(n)"""
     return q
