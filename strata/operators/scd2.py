@@ -24,6 +24,12 @@ Plan, built so that no key, however hot, is ever held by a single task:
    rows, a proven bound, broadcast back to the rows.
 5. A keyed aggregate per (key, version) yields the history. It combines on the map
    side too, so a long version spread over many partitions stays cheap.
+
+The ranged rows and the flagged rows each feed two consumers (a per-partition summary
+and the next step). They are checkpointed to the shared ``spark.checkpoint.dir``
+instead of being recomputed per consumer; a checkpoint keeps the physical
+partitioning and order, so the second window pass needs no new shuffle, and it cuts
+the lineage, so a lost executor costs a re-read, not a recomputation.
 """
 
 from __future__ import annotations
@@ -33,6 +39,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import scratch_root
+
 START, END = "__START_AT", "__END_AT"
 
 
@@ -42,6 +50,13 @@ def _struct_or_const(df_col: str, names: Sequence[str]) -> Column:
     return F.struct(*[F.col(df_col)[n].alias(n) for n in names])
 
 
+def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
+    if not checkpoint:
+        return df
+    scratch_root(df.sparkSession)  # the shared folder; set locally only when unset
+    return df.checkpoint(eager=True)
+
+
 def scd2_history(
     log: DataFrame,
     keys: Sequence[str],
@@ -50,6 +65,7 @@ def scd2_history(
     track_history_except: Sequence[str] = (),
     tie_breaker: Sequence[str] | None = None,
     num_partitions: int | None = None,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """History table of ``log``: target columns plus ``__START_AT`` / ``__END_AT``.
 
@@ -57,7 +73,8 @@ def scd2_history(
     them). ``tie_breaker`` orders rows that share a (key, sequence); by default all
     target columns other than the keys, in order. Rows with a NULL sequence cannot be
     placed in time and are not part of the history. ``num_partitions`` (P) defaults to
-    ``spark.sql.shuffle.partitions``.
+    ``spark.sql.shuffle.partitions``. ``checkpoint=False`` keeps the plan lazy (the
+    intermediates are then recomputed by each consumer).
     """
     keys = list(keys)
     target = [c for c in log.columns if c not in set(except_columns)]
@@ -81,11 +98,12 @@ def scd2_history(
     dedup = rows.groupBy(*keys, "__seq").agg(F.max_by("__row", "__tie").alias("__row"))
 
     # 2. contiguous, balanced ranges of (key, sequence)
-    ranged = (
+    ranged = _materialize(
         dedup.repartitionByRange(num_partitions, *keys, "__seq")
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__k", F.struct(*keys))
-        .withColumn("__t", _struct_or_const("__row", tracked))
+        .withColumn("__t", _struct_or_const("__row", tracked)),
+        checkpoint,
     )
 
     # 4a. per partition: its first key and its last row -> predecessor carry
@@ -103,7 +121,7 @@ def scd2_history(
 
     # 3a. predecessor inside the group, else the carry; change flag
     group = Window.partitionBy(*keys, "__pid").orderBy("__seq")
-    flagged = (
+    flagged = _materialize(
         ranged.withColumn("__prev", F.lag("__t").over(group))
         .join(F.broadcast(carry_prev), on="__pid", how="left")
         .withColumn(
@@ -117,7 +135,8 @@ def scd2_history(
             "__cs",
             F.when(~F.col("__prev").eqNullSafe(F.col("__t")), F.col("__seq")),
         )
-        .drop("__carry_t", "__carry_k", "__prev")
+        .drop("__carry_t", "__carry_k", "__prev"),
+        checkpoint,
     )
 
     # 4b. per partition: first change of its first key, last change of its last key

@@ -120,41 +120,32 @@ def customer_change_log(
     (% 5 = 1), a change of the untracked unique id only (% 5 = 2), and for key % 11 = 4
     two rows with the same ingest time (a tie). Batch 3: the city changes back
     (key % 10 = 0: A -> B -> A) and missing cities get a value (key % 41 = 0).
+    One scan: each customer row expands into the change rows it takes part in.
     """
-    base = _customer_base(customer, nation, region)
     k = F.col("c_custkey")
-
-    def batch(df: DataFrame, i: int, cols: list[Column]) -> DataFrame:
-        return df.select(
-            *cols,
-            F.to_timestamp(F.lit(CUSTOMER_BATCHES[i])).alias("_ingest_timestamp"),
-            F.lit(f"batch-{i + 1}").alias("_source_file"),
-        )
-
-    b1 = batch(base, 0, _customer_cols())
-    moved = batch(
-        base.filter(k % 5 == 0), 1,
-        _customer_cols(city=F.concat(F.col("n_name"), F.lit(" NORTE"))),
-    )
-    repeat = batch(base.filter(k % 5 == 1), 1, _customer_cols())
-    renamed = batch(
-        base.filter(k % 5 == 2), 1,
-        _customer_cols(unique_id=F.concat(F.col("c_name"), F.lit("-2"))),
-    )
-    tie_a = batch(
-        base.filter(k % 11 == 4), 1,
-        _customer_cols(city=F.concat(F.col("n_name"), F.lit(" SUL"))),
-    )
-    tie_b = batch(
-        base.filter(k % 11 == 4), 1,
-        _customer_cols(city=F.concat(F.col("n_name"), F.lit(" OESTE"))),
+    names = ["customer_id", "customer_unique_id", "customer_zip_code_prefix",
+             "customer_city", "customer_state", "_ingest_timestamp", "_source_file"]
+
+    def variant(i: int, cols: list[Column]) -> Column:
+        stamp = [F.to_timestamp(F.lit(CUSTOMER_BATCHES[i])), F.lit(f"batch-{i + 1}")]
+        return F.struct(*[c.alias(n) for c, n in zip(cols + stamp, names)])
+
+    city = F.col("n_name")
+    variants = [
+        (F.lit(True), variant(0, _customer_cols())),
+        (k % 5 == 0, variant(1, _customer_cols(city=F.concat(city, F.lit(" NORTE"))))),
+        (k % 5 == 1, variant(1, _customer_cols())),
+        (k % 5 == 2, variant(1, _customer_cols(
+            unique_id=F.concat(F.col("c_name"), F.lit("-2"))))),
+        (k % 11 == 4, variant(1, _customer_cols(city=F.concat(city, F.lit(" SUL"))))),
+        (k % 11 == 4, variant(1, _customer_cols(city=F.concat(city, F.lit(" OESTE"))))),
+        ((k % 10 == 0) & (k % 41 != 0), variant(2, _customer_cols())),
+        (k % 41 == 0, variant(2, _customer_cols(city=city))),
+    ]
+    rows = F.filter(
+        F.array(*[F.when(cond, v) for cond, v in variants]), lambda x: x.isNotNull()
     )
-    back = batch(base.filter((k % 10 == 0) & (k % 41 != 0)), 2, _customer_cols())
-    filled = batch(base.filter(k % 41 == 0), 2, _customer_cols(city=F.col("n_name")))
-    out = b1
-    for part in (moved, repeat, renamed, tie_a, tie_b, back, filled):
-        out = out.unionByName(part)
-    return out
+    return _customer_base(customer, nation, region).select(F.inline(rows))
 
 
 def products_feed(part: DataFrame) -> DataFrame:
