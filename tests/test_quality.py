@@ -1,0 +1,57 @@
+from pyspark.sql import types as T
+
+from strata.config import Rule, rules_for
+from strata.operators import quality
+
+
+def test_each_rule_true_false_null(spark):
+    rules = rules_for("order_items")
+    rows = [
+        ("o1", "p1", 1.0),    # all TRUE
+        (None, "p1", 1.0),    # order id NULL
+        ("o1", None, 1.0),    # product NULL
+        ("o1", "p1", -1.0),   # price FALSE
+        ("o1", "p1", None),   # price NULL -> predicate NULL -> dropped
+        (None, None, -5.0),   # fails three rules, dropped once
+        ("o2", "p2", 0.0),    # boundary TRUE
+    ]
+    df = spark.createDataFrame(rows, "order_id string, product_id string, price double")
+    kept = quality.expect_or_drop(df, rules).collect()
+    assert sorted(r.order_id for r in kept) == ["o1", "o2"]
+
+
+def test_rule_counts_single_pass(spark):
+    rules = [Rule("pos", "x > 0"), Rule("present", "x IS NOT NULL")]
+    df = spark.createDataFrame([(1,), (-1,), (None,)], "x int")
+    out = {r.rule: (r.passed, r.failed) for r in quality.rule_counts(df, rules, "d").collect()}
+    assert out == {"pos": (1, 2), "present": (2, 1)}
+
+
+def test_observe_rules_batch(spark):
+    rules = [Rule("pos", "x > 0")]
+    df = spark.createDataFrame([(1,), (-1,), (None,), (3,)], "x int")
+    observed, obs = quality.observe_rules(df, rules)
+    kept = quality.expect_or_drop(observed, rules).count()
+    assert kept == 2
+    assert obs.get == {"rows": 4, "pos": 2}
+
+
+def test_key_violations_and_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), (None, 2)], "k string, n int")
+    out = {(r.k, r.n_rows) for r in quality.key_violations(df, ["k"]).collect()}
+    assert out == {("a", 2), (None, 1)}
+
+
+def test_orphans_counts_child_rows(spark):
+    child = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "fk string")
+    parent = spark.createDataFrame([("y",), ("y",)], "pk string")
+    out = {(r.fk, r.n_rows) for r in quality.orphans(child, parent, ["fk"], ["pk"]).collect()}
+    assert out == {("x", 2)}
+
+
+def test_schema_mismatches():
+    want = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    have = T.StructType([T.StructField("a", T.LongType()), T.StructField("c", T.StringType())])
+    assert set(quality.schema_mismatches(have, want)) == {
+        ("a", "int", "bigint"), ("b", "string", "<missing>"), ("c", "<absent>", "string")}
+    assert quality.schema_mismatches(want, want) == []
