@@ -50,11 +50,26 @@ def _struct_or_const(df_col: str, names: Sequence[str]) -> Column:
     return F.struct(*[F.col(df_col)[n].alias(n) for n in names])
 
 
-def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
+def _materialize(df: DataFrame, checkpoint: bool, keep_partitioning: bool = False) -> DataFrame:
+    """Checkpoint ``df`` to the shared checkpoint folder.
+
+    With ``keep_partitioning`` the checkpoint job runs with AQE off: only then does
+    the checkpointed relation report the hash partitioning it was written with, so
+    the next window over the same keys reads it without another shuffle. The session
+    setting is restored right after the (eager) job.
+    """
     if not checkpoint:
         return df
-    scratch_root(df.sparkSession)  # the shared folder; set locally only when unset
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    scratch_root(spark)  # the shared folder; set locally only when unset
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
 
 
 def scd2_history(
@@ -137,6 +152,7 @@ def scd2_history(
         )
         .drop("__carry_t", "__carry_k", "__prev"),
         checkpoint,
+        keep_partitioning=True,
     )
 
     # 4b. per partition: first change of its first key, last change of its last key

@@ -23,7 +23,15 @@ CUSTOMER_BATCHES = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one test table. A scan with fewer splits than the cluster has cores (a
+    small file with a single row group) is spread round-robin over the default
+    parallelism, so the per-row parsing above it is not left to one task; a large,
+    many-split input is returned as scanned, with no extra shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _fmt(c: Column) -> Column:
@@ -38,6 +46,11 @@ def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def _money(c: str | Column) -> Column:
+    """Two-decimal text of a number (values here carry at most two decimals)."""
+    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)").cast("string")
+
+
 def orders_feed(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     open_order = F.col("o_orderstatus") == "O"
@@ -62,7 +75,7 @@ def orders_feed(orders: DataFrame) -> DataFrame:
 
 def order_items_feed(lineitem: DataFrame) -> DataFrame:
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
-    price = F.format_string("%.2f", F.col("l_extendedprice"))
+    price = _money("l_extendedprice")
     return lineitem.select(
         _s(k).alias("order_id"),
         _s(n).alias("order_item_id"),
@@ -75,7 +88,7 @@ def order_items_feed(lineitem: DataFrame) -> DataFrame:
         .otherwise(price)
         .alias("price"),
         F.when((k + n) % 37 == 0, None)
-        .otherwise(F.format_string("%.2f", F.col("l_quantity")))
+        .otherwise(_money("l_quantity"))
         .alias("freight_value"),
     )
 
@@ -163,7 +176,7 @@ def products_feed(part: DataFrame) -> DataFrame:
         .alias("product_description_lenght"),
         _s(F.col("p_size") % 5).alias("product_photos_qty"),
         F.when(k % 17 == 0, F.lit("heavy"))
-        .otherwise(F.format_string("%.2f", F.col("p_retailprice") - 950))
+        .otherwise(_money(F.col("p_retailprice") - 950))
         .alias("product_weight_g"),
         _s("p_size").alias("product_length_cm"),
         _s(F.col("p_size") % 7 + 1).alias("product_height_cm"),

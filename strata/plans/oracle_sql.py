@@ -46,12 +46,12 @@ order_items_feed AS (
     CAST(l_partkey AS VARCHAR) AS product_id,
     CAST(l_suppkey AS VARCHAR) AS seller_id,
     {_fmt('l_shipdate')} AS shipping_limit_date,
-    CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 = 0 THEN '-' || printf('%.2f', l_extendedprice)
+    CASE WHEN (l_orderkey * 7 + l_linenumber) % 101 = 0 THEN '-' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
          WHEN (l_orderkey * 3 + l_linenumber) % 103 = 0 THEN 'abc'
          WHEN (l_orderkey + l_linenumber) % 127 = 0 THEN NULL
-         ELSE printf('%.2f', l_extendedprice) END AS price,
+         ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS price,
     CASE WHEN (l_orderkey + l_linenumber) % 37 = 0 THEN NULL
-         ELSE printf('%.2f', l_quantity) END AS freight_value
+         ELSE CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) END AS freight_value
   FROM lineitem)"""
 
 CUST_BASE = """
@@ -121,7 +121,7 @@ products_feed AS (
          ELSE CAST(p_size * 10 AS VARCHAR) END AS product_description_lenght,
     CAST(p_size % 5 AS VARCHAR) AS product_photos_qty,
     CASE WHEN p_partkey % 17 = 0 THEN 'heavy'
-         ELSE printf('%.2f', p_retailprice - 950) END AS product_weight_g,
+         ELSE CAST(CAST(p_retailprice - 950 AS DECIMAL(18,2)) AS VARCHAR) END AS product_weight_g,
     CAST(p_size AS VARCHAR) AS product_length_cm,
     CAST(p_size % 7 + 1 AS VARCHAR) AS product_height_cm,
     CAST(p_size % 11 + 2 AS VARCHAR) AS product_width_cm
