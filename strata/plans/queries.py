@@ -227,9 +227,10 @@ def _bronze_query(entity: str) -> Callable[[SparkSession, str], DataFrame]:
         store = TableStore(f"{root}/tables")
         feed = feeds.raw_feeds(spark, sf_dir)[entity]
         first = F.pmod(F.xxhash64(*[F.col(c) for c in ent.raw_columns]), F.lit(2)) == 0
-        write_csv_feed(feed.filter(first), f"{source}/{ent.source_dir}", files=2)
+        files = spark.sparkContext.defaultParallelism
+        write_csv_feed(feed.filter(first), f"{source}/{ent.source_dir}", files=files)
         ingest(spark, ent, source, store)
-        write_csv_feed(feed.filter(~first), f"{source}/{ent.source_dir}", files=2)
+        write_csv_feed(feed.filter(~first), f"{source}/{ent.source_dir}", files=files)
         ingest(spark, ent, source, store)
         ingest(spark, ent, source, store)  # nothing new: adds no rows
         return read_snapshot(spark, store.path("bronze", f"bronze_{entity}")).select(
