@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import decontaminate
+from .mixing import mix
 from .simhash import simhash_near_dups
+from .substring import remove_repeats
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), entropy=0.97, max_epochs=4.0)
+
+
+def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), size=13)
 
 
 def op4_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +31,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op4_simhash_near_dups, op10_decontaminate,
+        op1_mix_sources, op2_remove_repeats, op4_simhash_near_dups, op10_decontaminate,
     )}
 
 
