@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import scratch_dir
+
 from .common import table
 from .decontaminate import decontaminate
 from .mixing import mix
 from .simhash import simhash_near_dups
 from .substring import remove_repeats
+from .token_store import read_tokens, write_tokens
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,13 +28,31 @@ def op4_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+#: Id that ends a document, and the public tokenizer (its file stays where it is installed).
+END_ID, TOKENIZER = 2, "byte_bpe_50k.json"
+
+
+def token_roundtrip(docs: DataFrame) -> DataFrame:
+    """Write ``docs`` to a token store in the shared folder and read it back."""
+    import public_tokenizers
+
+    spark = docs.sparkSession
+    root = scratch_dir(spark, "llm-tokens")
+    write_tokens(docs, f"{root}/store", f"{root}/ids", public_tokenizers.path(TOKENIZER), END_ID)
+    return read_tokens(spark, f"{root}/store")
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_roundtrip(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mix_sources, op2_remove_repeats, op4_simhash_near_dups, op10_decontaminate,
+        op1_mix_sources, op2_remove_repeats, op4_simhash_near_dups, op8_token_store, op10_decontaminate,
     )}
 
 

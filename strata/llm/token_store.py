@@ -1 +1,361 @@
-"""To come."""
+"""Token ids in a static range asymmetric numeral system (rANS) store.
+
+Documents are range-partitioned and sorted by doc_id, tokenised, and cut into blocks of whole
+documents. One pass over all blocks counts the ids; from the counts comes one shared frequency
+table (2^20 slots, every id that occurs has one at least). Each block is then coded by itself:
+``lanes`` interleaved 64-bit states that give off 32-bit words, a checkpoint (word position and all
+states) every ``STEP`` steps, a CRC of the coded bytes and one of the ids. A reader opens any block
+alone, and within a block decodes all checkpoints side by side.
+
+Store folder: ``frequencies`` (id, slots) and ``blocks`` (part, block, n_tokens, doc_ids, lengths,
+payload), both Parquet, so any cluster store works; the payload format is given at ``encode_block``.
+
+Defined cases: null and empty texts give only the end id; null doc_ids come first; repeated rows are
+written once each, rows with one doc_id in the order of their texts; a document longer than a block
+is a block of its own; an empty table writes an empty store that reads back as no rows; other columns
+are ignored.
+"""
+
+from __future__ import annotations
+
+import re
+import struct
+import sys
+import types
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .common import Shared, arrow_schema, parts_for, slices, text_bytes, to_batch
+
+PART_BYTES = 32 << 20
+BLOCK_TOKENS = 1 << 18
+SCALE, LOW = np.uint64(20), np.uint64(1 << 31)
+MAX_LANES, STEP = 256, 256
+WORD = np.uint64(32)
+#: Chunks that a worker remembers, and the longest remembered.
+KNOWN_CHUNKS, LONG_CHUNK = 500_000, 64
+
+
+# -- tokenising ---------------------------------------------------------------------------
+
+#: Blanks followed by more white space (whatever Python or Unicode count as such).
+_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+_AFTER_BLANK = [" " + c for c in _SPACE]
+_CUT = re.compile(" (?=\\S)")
+
+
+def chunks(text: str) -> list[str]:
+    """Cut before every blank that a non-space follows, and drop that blank. The tokenizer's
+    pattern starts a new piece at each of these blanks whatever stands before it, so chunks can
+    be tokenised one by one."""
+    if text.endswith(" ") or any(x in text for x in _AFTER_BLANK):
+        return _CUT.split(text)
+    return text.split(" ")
+
+
+class ChunkTokenizer:
+    """Tokenises by chunks and remembers them: natural text repeats its words. All ids come
+    from the tokenizer; a chunk's ids are kept as little-endian bytes."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.known: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of chunks that follow a blank, many in one call, told apart by their offsets."""
+        for at in range(0, len(new), 4096):
+            some = new[at:at + 4096]
+            coded = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            ends = np.cumsum([len(c) + 1 for c in some])
+            starts = np.fromiter((s for s, _ in coded.offsets), np.int64, len(coded.offsets))
+            ids = np.array(coded.ids, self.dtype)
+            cuts = np.searchsorted(starts, ends[:-1], side="left").tolist()
+            self.known |= zip(some, (p.tobytes() for p in np.split(ids, cuts)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > KNOWN_CHUNKS:
+            self.known = {}
+        split = [chunks(t) for t in texts]
+        heads = self.tokenizer.encode_batch([c[0] for c in split], add_special_tokens=False)
+        tails = [c[1:] for c in split]
+        new = set().union(*tails) - self.known.keys()
+        self._learn(list(new))
+        known = self.known.__getitem__
+        out = [self._bytes(h.ids) + b"".join(map(known, t)) for h, t in zip(heads, tails)]
+        for c in new:
+            if len(c) > LONG_CHUNK:
+                del self.known[c]
+        return out
+
+
+def _tokenizer(path: str) -> ChunkTokenizer:
+    """One per worker process, for all tasks that run in it."""
+    held = sys.modules.setdefault("_worker_tokenizers", types.ModuleType("_worker_tokenizers"))
+    if path not in held.__dict__:
+        held.__dict__[path] = ChunkTokenizer(path)
+    return held.__dict__[path]
+
+
+_BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary"
+
+
+def token_blocks(docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Blocks of whole documents in ascending doc_id order; ids as little-endian integers."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    parts = parts_for(text_bytes(docs), PART_BYTES)
+    dealt = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    target = arrow_schema(_BLOCKS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = _tokenizer(path)
+        end = np.array([end_id], tokenizer.dtype).tobytes()
+        width = len(end)
+        part, block = TaskContext.get().partitionId(), 0
+        ids, lengths, held, size = [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            return to_batch({"part": [part], "block": [block], "doc_ids": [ids], "lengths": [lengths],
+                             "ids": [b"".join(held)]}, target)
+
+        for batch in batches:
+            for some in slices(batch, "text", 4 << 20):
+                coded = tokenizer.encode(some.column("text").to_pylist())
+                for doc, own in zip(some.column("doc_id").to_pylist(), coded):
+                    n = len(own) // width + 1
+                    if size and size + n > block_tokens:
+                        yield row()
+                        ids, lengths, held, size, block = [], [], [], 0, block + 1
+                    ids.append(doc)
+                    lengths.append(n)
+                    held += [own, end]
+                    size += n
+        if ids:
+            yield row()
+
+    return dealt.mapInArrow(run, _BLOCKS)
+
+
+# -- rANS ------------------------------------------------------------------------------------
+
+
+class Frequencies:
+    """Slots per id out of 2^20, shared by all blocks."""
+
+    def __init__(self, ids: list[int], slots: list[int]) -> None:
+        size = max(ids, default=0) + 1
+        self.slots = np.zeros(size, np.uint64)
+        self.slots[ids] = slots
+        self.first = np.concatenate(([0], np.cumsum(self.slots)[:-1])).astype(np.uint64)
+        self.id_of = np.repeat(np.arange(size, dtype=np.uint32), self.slots.astype(np.int64))
+
+    @staticmethod
+    def share(ids: list[int], counts: list[int]) -> list[int]:
+        """Slots in proportion to the counts, one at least, 2^20 in all."""
+        if not ids:
+            return []
+        total, room = sum(counts), 1 << int(SCALE)
+        if len(ids) > room:
+            raise ValueError("more distinct ids than slots")
+        slots = [max(1, n * room // total) for n in counts]
+        over = sum(slots) - room
+        order = sorted(range(len(slots)), key=lambda k: (-slots[k], ids[k]))
+        if over < 0:
+            slots[order[0]] -= over
+        while over > 0:
+            for k in order:
+                take = min(over, slots[k] - 1, max(1, slots[k] // 8))
+                slots[k] -= take
+                over -= take
+                if not over:
+                    break
+        return slots
+
+
+_HEAD = "<4sIIIII"  # magic, lanes, checkpoints, ids, words, CRC of the ids
+
+
+def encode_block(ids: np.ndarray, table: Frequencies) -> bytes:
+    """Payload: header; per checkpoint its word position (u64) and ``lanes`` states (u64); the
+    words (u32, read forwards); CRC of all that (u32). Id i is coded by lane i mod lanes in step
+    i // lanes; checkpoint k holds the reader's state before step k * STEP."""
+    n = len(ids)
+    lanes = int(max(1, min(MAX_LANES, n // 64)))
+    steps = -(-n // lanes)
+    slots = np.ones(steps * lanes, np.uint64)
+    first = np.zeros(steps * lanes, np.uint64)
+    slots[:n], first[:n] = table.slots[ids], table.first[ids]
+    slots, first = slots.reshape(steps, lanes), first.reshape(steps, lanes)
+    limit = slots << np.uint64(63 - int(SCALE))
+    state = np.full(lanes, LOW, np.uint64)
+    words: list[np.ndarray] = []
+    marks: list[tuple[int, np.ndarray]] = []
+    for t in range(steps - 1, -1, -1):
+        live = n - t * lanes if t == steps - 1 else lanes
+        x, f = state[:live], slots[t, :live]
+        full = x >= limit[t, :live]
+        if full.any():
+            words.append((x[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
+            x = np.where(full, x >> WORD, x)
+        q = x // f
+        state[:live] = (q << SCALE) + (x - q * f) + first[t, :live]
+        if t % STEP == 0:
+            marks.append((len(words), state.copy()))
+    sizes = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
+    total = int(sizes[-1])
+    body = [struct.pack(_HEAD, b"rANS", lanes, len(marks), n, total, zlib.crc32(np.ascontiguousarray(ids, "<u4")))]
+    for given, own in reversed(marks):
+        body += [struct.pack("<Q", total - int(sizes[given])), own.astype("<u8").tobytes()]
+    body += [w.tobytes() for w in reversed(words)]
+    out = b"".join(body)
+    return out + struct.pack("<I", zlib.crc32(out))
+
+
+def decode_block(payload: bytes, table: Frequencies) -> np.ndarray:
+    """Ids of a block; all stretches between checkpoints are decoded side by side."""
+    if zlib.crc32(payload[:-4]) != struct.unpack("<I", payload[-4:])[0]:
+        raise ValueError("a block of the token store is damaged")
+    magic, lanes, marks, n, n_words, crc = struct.unpack_from(_HEAD, payload)
+    if magic != b"rANS":
+        raise ValueError("not a block of the token store")
+    if not n:
+        return np.empty(0, np.uint32)
+    each = np.frombuffer(payload, "<u8", marks * (lanes + 1), struct.calcsize(_HEAD)).reshape(marks, lanes + 1)
+    at, state = each[:, 0].astype(np.int64), each[:, 1:].astype(np.uint64)
+    words = np.frombuffer(payload, "<u4", n_words, struct.calcsize(_HEAD) + each.nbytes).astype(np.uint64)
+    words = np.append(words, np.zeros(lanes + 1, np.uint64))
+    steps = -(-n // lanes)
+    out = np.empty((marks * STEP, lanes), np.uint32)
+    mask = np.uint64((1 << int(SCALE)) - 1)
+    for t in range(min(STEP, steps)):
+        live = int(np.searchsorted(np.arange(marks) * STEP + t, steps))  # stretches that have this step
+        x = state[:live]
+        slot = x & mask
+        ids = table.id_of[slot]
+        out[np.arange(live) * STEP + t] = ids
+        x = table.slots[ids] * (x >> SCALE) + slot - table.first[ids]
+        low = x < LOW
+        if (live - 1) * STEP + t == steps - 1:  # the last step may not fill all lanes
+            low[live - 1, n - (steps - 1) * lanes:] = False
+        place = at[:live, None] + np.cumsum(low, axis=1) - 1
+        state[:live] = np.where(low, (x << WORD) | words[np.maximum(place, 0)], x)
+        at[:live] += low.sum(axis=1)
+    ids = out.reshape(-1)[:n]
+    if zlib.crc32(np.ascontiguousarray(ids, "<u4")) != crc:
+        raise ValueError("a block of the token store decodes to other ids")
+    return ids
+
+
+# -- the store -----------------------------------------------------------------------------------
+
+
+def _counts(blocks: DataFrame, dtype: str) -> DataFrame:
+    target = arrow_schema("id int, n long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for ids in batch.column("ids"):
+                own = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
+                if len(own) > len(total):
+                    total = np.pad(total, (0, len(own) - len(total)))
+                total[: len(own)] += own
+        used = np.flatnonzero(total)
+        yield to_batch({"id": used.astype(np.int32), "n": total[used]}, target)
+
+    return blocks.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+_STORED = "part int, block int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
+
+
+def write_tokens(
+    docs: DataFrame, path: str, scratch: str, tokenizer: str, end_id: int, block_tokens: int = BLOCK_TOKENS,
+) -> None:
+    """Tokenise ``docs`` and write the store at ``path``; ``scratch`` holds the plain ids meanwhile."""
+    from tokenizers import Tokenizer
+
+    spark = docs.sparkSession
+    token_blocks(docs, tokenizer, end_id, block_tokens).write.parquet(scratch)
+    blocks = spark.read.schema(_BLOCKS).parquet(scratch)
+    dtype = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
+    counted = _counts(blocks, dtype).orderBy("id").collect()  # the vocabulary at most
+    ids = [r["id"] for r in counted]
+    slots = Frequencies.share(ids, [r["n"] for r in counted])
+    spark.createDataFrame(list(zip(ids, slots)), "id int, slots int").coalesce(1).write.parquet(f"{path}/frequencies")
+    shared = Shared(spark, Frequencies(ids, slots))
+    target = arrow_schema(_STORED)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.get()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                own = np.frombuffer(batch.column("ids")[k].as_buffer(), dtype)
+                row = batch.slice(k, 1)
+                yield to_batch({
+                    "part": row.column("part"), "block": row.column("block"), "n_tokens": [len(own)],
+                    "doc_ids": row.column("doc_ids"), "lengths": row.column("lengths"),
+                    "payload": [encode_block(own, table)]}, target)
+
+    blocks.mapInArrow(run, _STORED).write.parquet(f"{path}/blocks")
+
+
+def _starts(blocks: DataFrame) -> DataFrame:
+    """(part, block, start): ids before each block. Sums run within a part, then over groups of
+    1,000 parts, then over the groups, so no window holds more than the parts of a group."""
+    def before(value: str, *by: str, order: str) -> F.Column:
+        window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+        return F.coalesce(F.sum(value).over(window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    sizes = blocks.select("part", "block", "n_tokens", F.expr("part div 1000").alias("g"))
+    parts = sizes.groupBy("g", "part").agg(F.sum("n_tokens").alias("n"))
+    groups = parts.groupBy("g").agg(F.sum("n").alias("n")).select("g", before("n", order="g").alias("s"))
+    of_part = parts.withColumn("p", before("n", "g", order="part")).join(groups, "g").select(
+        "part", (F.col("p") + F.col("s")).alias("p"))
+    return sizes.withColumn("b", before("n_tokens", "part", order="block")).join(of_part, "part").select(
+        "part", "block", (F.col("p") + F.col("b")).alias("start"))
+
+
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 (and ids) of every document of a store."""
+    rows = spark.read.parquet(f"{path}/frequencies").collect()  # the vocabulary at most
+    shared = Shared(spark, Frequencies([r["id"] for r in rows], [r["slots"] for r in rows]))
+    blocks = spark.read.schema(_STORED).parquet(f"{path}/blocks")
+    schema = "part int, block int, doc_id long, offset long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
+    target = arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.get()
+        for batch in batches:
+            for r in range(batch.num_rows):
+                ids = decode_block(batch.column("payload")[r].as_py(), table).astype("<u4")
+                lengths = np.array(batch.column("lengths")[r].as_py(), np.int64)
+                ends = np.cumsum(lengths)
+                if len(ids) != (ends[-1] if len(ends) else 0):
+                    raise ValueError("a block of the token store has other lengths")
+                spans = list(zip((ends - lengths).tolist(), ends.tolist()))
+                out = {"part": [batch.column("part")[r].as_py()] * len(spans),
+                       "block": [batch.column("block")[r].as_py()] * len(spans),
+                       "doc_id": batch.column("doc_ids")[r].as_py(), "offset": ends - lengths,
+                       "n_tokens": lengths, "ids_crc32": [zlib.crc32(ids[s:e]) for s, e in spans]}
+                if with_ids:
+                    out["ids"] = [ids[s:e].astype(np.int32) for s, e in spans]
+                yield to_batch(out, target)
+
+    docs = blocks.select("part", "block", "doc_ids", "lengths", "payload").mapInArrow(run, schema)
+    more = ["ids"] if with_ids else []
+    return docs.join(_starts(blocks), ["part", "block"]).select(
+        "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", *more)
