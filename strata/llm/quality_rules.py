@@ -1 +1,147 @@
-"""To come."""
+"""Quality rules: an isolation forest on rule statistics, its threshold calibrated on labels.
+
+The base rule fails documents with fewer than 10 words or over 20 % of words in repeated 5-word
+windows. For the rest, an isolation forest judges the statistics: in trees of random splits,
+anomalous rows are isolated after few splits, so a short mean path means a high anomaly score
+2^(-path / c). Trees are grown on a bounded sample of documents that pass the base rule
+(``sample_rows``, chosen by a hash of the id); every document is scored by the same forest.
+The threshold is calibrated on a bounded sample of labelled rows: it makes the share of bad rows
+that fail, less ``cost`` times the share of good rows that fail, as large as can be.
+Shares of short texts vary by chance alone, so each is drawn to the sample's median as if
+``PRIOR_WORDS`` words of typical text were added.
+
+Defined cases: null and empty texts have 0 words and fail the base rule; repeated rows come back
+once each with equal verdicts; without labelled rows, or if they are all bad, nothing but the base
+rule fails; null doc_ids are judged but never sampled; an empty table gives no rows; other
+columns are ignored.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import Shared, map_rows, stage
+from .text_stats import BASE, labelled_sample, with_stats
+
+#: Statistics the forest sees: shares, not sizes, so long documents are no anomaly; repeats are
+#: the base rule's business.
+SEEN = ["symbol_share", "upper_share", "bang_share", "pipe_share", "word_len", "stop_share"]
+PRIOR_WORDS = 30
+SAMPLE_ROWS, LABEL_ROWS, TREES, TREE_ROWS = 8192, 20_000, 200, 256
+
+
+def _mean_path(n: np.ndarray | float) -> np.ndarray:
+    """Mean path length of an unsuccessful search among n rows."""
+    n = np.maximum(np.asarray(n, float), 1.0)
+    more = np.maximum(n - 1, 1e-9)
+    return np.where(n > 2, 2 * (np.log(more) + 0.5772156649) - 2 * more / n, np.where(n == 2, 1.0, 0.0))
+
+
+class IsolationForest:
+    """Trees as arrays: feature (-1 in a leaf), cut, left child, right child, path length so far."""
+
+    def __init__(self, rows: np.ndarray, trees: int, tree_rows: int, seed: int) -> None:
+        rng = np.random.default_rng(seed)
+        self.size = min(tree_rows, len(rows))
+        self.trees = [self._grow(rows[rng.choice(len(rows), self.size, replace=False)], rng) for _ in range(trees)]
+
+    @staticmethod
+    def _grow(rows: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
+        most = math.ceil(math.log2(max(2, len(rows))))
+        nodes: list[list[float]] = []
+
+        def grow(own: np.ndarray, depth: int) -> int:
+            at = len(nodes)
+            low, high = own.min(axis=0), own.max(axis=0)
+            varied = np.flatnonzero(high > low)
+            nodes.append([-1, 0.0, 0, 0, depth + float(_mean_path(len(own)))])
+            if depth < most and len(own) > 1 and len(varied):
+                f = int(rng.choice(varied))
+                cut = float(rng.uniform(low[f], high[f]))
+                left = own[:, f] <= cut
+                nodes[at][:4] = [f, cut, grow(own[left], depth + 1) if left.any() else at, 0]
+                nodes[at][3] = grow(own[~left], depth + 1) if (~left).any() else at
+            return at
+
+        grow(rows, 0)
+        table = np.array(nodes)
+        return (table[:, 0].astype(np.int64), table[:, 1], table[:, 2].astype(np.int64),
+                table[:, 3].astype(np.int64), table[:, 4])
+
+    def score(self, rows: np.ndarray) -> np.ndarray:
+        """Anomaly score in (0, 1); about 0.5 and less is normal."""
+        total = np.zeros(len(rows))
+        for feature, cut, left, right, path in self.trees:
+            at = np.zeros(len(rows), np.int64)
+            go = np.flatnonzero(feature[at] >= 0)
+            while len(go):
+                own = at[go]
+                at[go] = np.where(rows[go, feature[own]] <= cut[own], left[own], right[own])
+                go = go[feature[at[go]] >= 0]
+            total += path[at]
+        return 2.0 ** (-total / len(self.trees) / max(float(_mean_path(self.size)), 1e-9))
+
+
+class Judge:
+    """The forest with the medians that short texts are drawn to."""
+
+    def __init__(self, words: np.ndarray, rows: np.ndarray, trees: int, seed: int) -> None:
+        self.centre = np.median(rows, axis=0)
+        self.forest = IsolationForest(self._drawn(words, rows), trees, TREE_ROWS, seed)
+
+    def _drawn(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        share = (words / (words + PRIOR_WORDS))[:, None]
+        return self.centre + (rows - self.centre) * share
+
+    def score(self, words: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return self.forest.score(self._drawn(words, rows))
+
+
+def calibrate(scores: np.ndarray, labels: np.ndarray, cost: float) -> float:
+    """Threshold (scores above it fail) with the most bad rows failed less ``cost`` x good ones."""
+    good, bad = np.sort(scores[labels == 1]), np.sort(scores[labels == 0])
+    if not len(good) or not len(bad):
+        return 1.0
+    cuts = np.unique(np.append(good, bad))
+    lost = 1 - np.searchsorted(good, cuts, side="right") / len(good)
+    caught = 1 - np.searchsorted(bad, cuts, side="right") / len(bad)
+    best = int(np.argmax(np.append(caught - cost * lost, 0.0)))
+    return float((cuts[best] + cuts[best + 1]) / 2) if best + 1 < len(cuts) else 1.0
+
+
+def quality_rules(
+    docs: DataFrame, labels: DataFrame, cost: float = 20.0, sample_rows: int = SAMPLE_ROWS,
+    label_rows: int = LABEL_ROWS, trees: int = TREES, seed: int = 42,
+) -> DataFrame:
+    """doc_id, the base counts, base_failed, kept, and the anomaly score with its threshold."""
+    spark = docs.sparkSession
+    stats = stage(with_stats(docs).withColumn(
+        "base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")), "stats")
+    fit = stats.filter("not base_failed and doc_id is not null").orderBy(
+        F.xxhash64(F.lit("forest"), "doc_id"), *SEEN).limit(sample_rows).select("n_words", *SEEN).toPandas()
+    if len(fit) < 2:
+        return stats.select("doc_id", *BASE, "base_failed", (~F.col("base_failed")).alias("kept"),
+                            F.lit(0.0).alias("anomaly"), F.lit(1.0).alias("threshold"))
+    judge = Judge(fit["n_words"].to_numpy(float), fit[SEEN].to_numpy(float), trees, seed)
+    marked = labelled_sample(labels, "quality", F.lit(True), label_rows)
+    known = stats.filter("not base_failed").join(marked, "doc_id").select("label", "n_words", *SEEN).limit(
+        2 * label_rows).toPandas()
+    threshold = calibrate(judge.score(known["n_words"].to_numpy(float), known[SEEN].to_numpy(float)),
+                          known["label"].to_numpy(), cost)
+    shared = Shared(spark, judge)
+
+    def run(rows: dict[str, list]) -> dict[str, list]:
+        out = {c: rows[c] for c in ("doc_id", *BASE, "base_failed")}
+        seen = np.array([rows[c] for c in SEEN], float).T.reshape(-1, len(SEEN))
+        out["anomaly"] = shared.get().score(np.array(rows["n_words"], float), seen)
+        return out
+
+    schema = ", ".join(["doc_id long", *(f"{c} long" for c in BASE), "base_failed boolean", "anomaly double"])
+    scored = map_rows(stats.withColumn("_text", F.lit("")), run, schema, text="_text")
+    return scored.select("doc_id", *BASE, "base_failed",
+                         F.expr(f"not base_failed and anomaly <= {threshold!r}D").alias("kept"),
+                         "anomaly", F.lit(threshold).alias("threshold"))
