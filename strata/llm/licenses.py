@@ -1 +1,191 @@
-"""To come."""
+"""License scans: MinHash bands over overlapping text windows, verified by shingle containment.
+
+Templates and documents become shingles of five words (letters and digits, A-Z lower-cased). A
+template of m shingles is looked for in windows of w shingles, the smallest power of two with
+m <= w / 2 + 1, that start every w / 2 shingles (every shingle for w = 1), so some window holds any
+copy whole. Windows get ``HASHES`` MinHash values; each is a band of one row. If a window holds a
+copy with the required containment c, its Jaccard similarity is at least c * m / (w + m - c * m) >= 0.14
+and a window is retrieved with probability 1 - (1 - J)^HASHES > 0.999; for w = 1 and for exact copies
+the figures are higher. Retrieved pairs are verified exactly: the share of the template's distinct
+shingles found in the document's words around the window must reach ``containment``.
+
+Window minima are built from halves (the minima of w from those of w / 2), so all sizes together
+cost about two values per shingle and hash.
+
+Defined cases: null and empty texts and texts of fewer than five words match nothing (as do
+templates of fewer than five words, which are left out); a template found in several places of a
+document gives one row with the best place; repeated document rows give their rows once each; null
+doc_ids keep their rows; templates with one id are alternatives, the best counts; empty tables give
+no rows; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import Shared, Vocabulary, alnum_words, map_rows, mix64, parts_for, window_hashes
+
+SHINGLE, HASHES, CONTAINMENT = 5, 48, 0.8
+#: Templates sent to the executors at a time, by their words.
+BLOCK_WORDS = 500_000
+
+#: Notices to look for (fixed texts): (license, text).
+TEMPLATES = [
+    ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+            "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+            "provided that the following conditions are met"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+]
+_SEEDS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def window_size(m: int) -> int:
+    """Shingles of the windows in which a template of m shingles is looked for."""
+    w = 1
+    while m > w / 2 + 1 and not (w == 1 and m == 1):
+        w *= 2
+    return w
+
+
+def minhashes(hashes: np.ndarray, k: int) -> np.ndarray:
+    return mix64(hashes * _SEEDS[k])
+
+
+class Index:
+    """Bands of a block of templates, by window size."""
+
+    def __init__(self, templates: list[tuple[str, str]]) -> None:
+        import xxhash
+
+        self.names: list[str] = []
+        self.shingles: list[frozenset[bytes]] = []
+        bands: dict[int, dict[int, dict[int, list[int]]]] = {}
+        for name, text in templates:
+            words = alnum_words(text)
+            own = [b" ".join(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
+            if not own:
+                continue
+            n = len(self.names)
+            self.names.append(name)
+            self.shingles.append(frozenset(own))
+            word_hash = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+            hashes = window_hashes(word_hash, SHINGLE)
+            w = window_size(len(own))
+            for k in range(HASHES if w > 1 else 1):
+                value = int(minhashes(hashes, k).min())
+                bands.setdefault(w, {}).setdefault(k, defaultdict(list))[value].append(n)
+        #: window size -> per hash: sorted values and the templates of each
+        self.bands = {
+            w: [(np.array(sorted(of), np.uint64), [of[v] for v in sorted(of)]) for _, of in sorted(by.items())]
+            for w, by in bands.items()}
+
+    def retrieve(self, hashes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(template, first shingle, window size) of every window that shares a band."""
+        found: set[tuple[int, int, int]] = set()
+
+        def look(values: np.ndarray, w: int, k: int, step: int) -> None:
+            known, of = self.bands[w][k]
+            slot = np.minimum(np.searchsorted(known, values), len(known) - 1)
+            for at in np.flatnonzero(known[slot] == values):
+                found.update((t, int(at) * step, w) for t in of[slot[at]])
+
+        sizes = [w for w in self.bands if w > 1]
+        if 1 in self.bands:
+            look(minhashes(hashes, 0), 1, 0, 1)
+        if not sizes:
+            return sorted(found)
+        for k in range(HASHES):
+            level, size = minhashes(hashes, k), 1  # minima of blocks of `size` shingles
+            while size < max(sizes):
+                if len(level) % 2:
+                    level = np.append(level, np.uint64(0xFFFFFFFFFFFFFFFF))
+                window = np.minimum(level, np.append(level[1:], np.uint64(0xFFFFFFFFFFFFFFFF)))
+                if 2 * size in self.bands:
+                    look(window, 2 * size, k, size)
+                level, size = window[::2], 2 * size
+        return sorted(found)
+
+
+def _verify(index: Index, words: list[bytes], found: list[tuple[int, int, int]], containment: float,
+            ) -> dict[str, tuple[float, int, int]]:
+    """license -> (containment, first word, words) of the best place in one document."""
+    best: dict[str, tuple[float, int, int]] = {}
+    n = len(words) - SHINGLE + 1
+    for t, start, w in found:
+        own = index.shingles[t]
+        places = [i for i in range(start, min(start + w, n)) if b" ".join(words[i:i + SHINGLE]) in own]
+        seen = {b" ".join(words[i:i + SHINGLE]) for i in places}
+        share = len(seen) / len(own)
+        if share >= containment:
+            row = (share, -places[0], places[-1] + SHINGLE - places[0])
+            if row > best.get(index.names[t], (0.0, 0, 0)):
+                best[index.names[t]] = row
+    return best
+
+
+_OUT = "doc_id long, license string, containment double, first_word long, n_words long"
+
+
+def _scan(docs: DataFrame, index: Index, containment: float) -> DataFrame:
+    shared = Shared(docs.sparkSession, index)
+
+    def run(rows: dict[str, list]) -> dict[str, list]:
+        own: Index = shared.get()
+        out: dict[str, list] = {c: [] for c in ("doc_id", "license", "containment", "first_word", "n_words")}
+        vocabulary = Vocabulary()
+        split = [alnum_words(t) for t in rows["text"]]
+        coded = [vocabulary.encode(w) for w in split]
+        lengths = np.array([len(c) for c in coded], np.int64)
+        word_hash = vocabulary.hashes()[np.concatenate(coded)] if lengths.sum() else np.empty(0, np.uint64)
+        hashes = window_hashes(word_hash, SHINGLE)  # of the joined words: shingles across two
+        first = np.cumsum(lengths) - lengths        # documents only cost candidates, see below
+        by_doc: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for t, start, w in own.retrieve(hashes) if len(hashes) else ():
+            a = int(np.searchsorted(first + lengths, start, side="right"))
+            while a < len(split) and first[a] < start + w:  # a window may lie over several documents
+                by_doc[a].append((t, max(0, start - int(first[a])), w - max(0, int(first[a]) - start)))
+                a += 1
+        for k in sorted(by_doc):
+            for name, (share, place, n) in sorted(_verify(own, split[k], by_doc[k], containment).items()):
+                out["doc_id"].append(rows["doc_id"][k])
+                out["license"].append(name)
+                out["containment"].append(share)
+                out["first_word"].append(-place)
+                out["n_words"].append(n)
+        return out
+
+    return map_rows(docs, run, _OUT)
+
+
+def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, containment: float = CONTAINMENT) -> DataFrame:
+    """doc_id, license, containment, first_word, n_words: a row for each license of a document.
+
+    ``templates`` has columns license and text; without it, TEMPLATES are used. Templates are
+    handled in blocks of about BLOCK_WORDS words."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if templates is None:
+        return _scan(docs, Index(TEMPLATES), containment)
+    own = templates.select("license", "text").filter("license is not null and text is not null").distinct()
+    n_bytes = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = parts_for(n_bytes, BLOCK_WORDS * 6)
+    # a license's templates stay in one block, so that its best place is found there
+    blocks = own.withColumn("block", F.pmod(F.xxhash64("license"), F.lit(n_blocks)))
+    out = None
+    for n in range(n_blocks):
+        rows = blocks.filter(F.col("block") == n).orderBy("license", "text").collect()  # about BLOCK_WORDS
+        found = _scan(docs, Index([(r["license"], r["text"]) for r in rows]), containment)
+        out = found if out is None else out.unionByName(found)
+    return out

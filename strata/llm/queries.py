@@ -10,10 +10,15 @@ from strata.session import scratch_dir
 
 from .common import table
 from .decontaminate import decontaminate
+from .language import detect
+from .licenses import scan_licenses
 from .mixing import mix
+from .quality_rules import quality_rules
+from .rule_ensemble import quality_scores
 from .simhash import simhash_near_dups
 from .substring import remove_repeats
 from .token_store import read_tokens, write_tokens
+from .toxicity import toxicity_scores
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +29,26 @@ def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), size=13)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 #: Id that ends a document, and the public tokenizer (its file stays where it is installed).
 END_ID, TOKENIZER = 2, "byte_bpe_50k.json"
 
@@ -46,13 +67,18 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_roundtrip(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mix_sources, op2_remove_repeats, op4_simhash_near_dups, op8_token_store, op10_decontaminate,
+        op1_mix_sources, op2_remove_repeats, op3_language, op4_simhash_near_dups, op5_quality_rules,
+        op6_toxicity, op7_licenses, op8_token_store, op9_quality_scores, op10_decontaminate,
     )}
 
 
