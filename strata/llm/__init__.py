@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 MODULES = [
     "common", "graph", "mixing", "substring", "language", "simhash", "text_stats",
     "quality_rules", "toxicity", "licenses", "token_store", "rule_ensemble",
-    "decontaminate", "queries",
+    "decontaminate", "stages", "queries",
 ]
 
 for _name in MODULES:
