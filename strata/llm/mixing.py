@@ -3,7 +3,8 @@
 Shares p of the sources (by tokens) are raised to an exponent a in [0, 1] and normalised:
 q = p^a / sum(p^a). Flatter mixes (small a) have more entropy and repeat small sources more.
 The exponent is bisected to the largest one that reaches the target entropy, then raised, if
-need be, to the smallest one that keeps every source within the repetition limit. A source gets
+need be, to the smallest one that keeps every source within the repetition limit (with a limit
+alone, that one is taken). A source gets
 ``epochs = q * budget / tokens`` passes. Without a budget, it is the smallest that uses every
 document at least once; so mixing then only repeats.
 
@@ -102,7 +103,7 @@ def exponent(sources: DataFrame, entropy: float | None, max_epochs: float | None
     n = sources.filter("tokens > 0").count()
     if n == 0:
         return 1.0
-    a = 1.0
+    a = 1.0 if max_epochs is None else 0.0  # without an entropy: as flat as the limit allows
     if entropy is not None:
         goal = entropy * math.log(n) - 1e-12
         natural = _measure(sources, [1.0], budget)[0][1]
@@ -123,11 +124,11 @@ def plan(
     a = exponent(sources, entropy, max_epochs, budget)
     total = sources.agg(F.sum("tokens").alias("total"))
     powered = sources.join(F.broadcast(total)).withColumn(
-        "w", F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.col("total"), F.lit(a))).otherwise(0.0))
+        "w", F.when(F.col("tokens") > 0, F.pow(F.try_divide("tokens", "total"), F.lit(a))).otherwise(0.0))
     of_all = powered.agg(F.sum("w").alias("z"), F.max(F.when(F.col("tokens") > 0, F.col("tokens") / F.col("w"))).alias("m"))
     weighted = powered.join(F.broadcast(of_all))
     spend = F.col("m") * F.col("z") if budget is None else F.lit(float(budget))
-    weighted = weighted.withColumn("weight", F.coalesce(F.col("w") / F.col("z"), F.lit(0.0))).withColumn(
+    weighted = weighted.withColumn("weight", F.coalesce(F.try_divide("w", "z"), F.lit(0.0))).withColumn(
         "epochs", F.when(F.col("tokens") > 0, F.col("weight") * spend / F.col("tokens")).otherwise(1.0))
     near = F.round("epochs")  # rounding noise is no partial pass
     weighted = weighted.withColumn("epochs", F.when(F.abs(F.col("epochs") - near) < 1e-9, near).otherwise(F.col("epochs")))
