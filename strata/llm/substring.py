@@ -39,7 +39,7 @@ from .common import (
 )
 
 #: Text bytes per shard of hashes and per block of documents.
-SHARD_BYTES, BLOCK_BYTES = 16 << 20, 8 << 20
+SHARD_BYTES, BLOCK_BYTES = 8 << 20, 8 << 20
 #: Anchors of one automaton.
 AUTOMATON_ANCHORS = 100_000
 
@@ -61,14 +61,17 @@ def unpack(blob: bytes, n: int, n_columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(p.T).view("<u8").reshape(n) for p in planes]
 
 
-def _spread(words: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, document index and start (in the joined words) of every window of the documents."""
+def _coded(words: list[list[bytes]]) -> tuple[list[np.ndarray], Vocabulary]:
     vocabulary = Vocabulary()
-    coded = [vocabulary.encode(w) for w in words]
+    return [vocabulary.encode(w) for w in words], vocabulary
+
+
+def _spread(coded: list[np.ndarray], vocabulary: Vocabulary, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, document index and start (in the joined words) of every window of the documents."""
     lengths = np.array([len(c) for c in coded], np.int64)
     joined = np.concatenate(coded) if coded else np.empty(0, np.int64)
     hashes = window_hashes(vocabulary.hashes()[joined] if len(joined) else np.empty(0, np.uint64), size)
-    of = np.repeat(np.arange(len(words)), lengths)[: len(hashes)]
+    of = np.repeat(np.arange(len(coded)), lengths)[: len(hashes)]
     ends = np.cumsum(lengths)
     start = np.arange(len(hashes))
     whole = start + size <= ends[of] if len(hashes) else np.empty(0, bool)
@@ -79,7 +82,7 @@ def _hash_rows(size: int, n_shards: int, n_blocks: int):
     def run(rows: dict[str, list]) -> dict[str, list]:
         keyed = sorted((i % n_blocks, i, k) for k, i in enumerate(rows["doc_id"]) if i is not None)
         ids = np.array([i for _, i, _ in keyed], np.int64)
-        hashes, of, _ = _spread([blank_words(rows["text"][k]) for _, _, k in keyed], size)
+        hashes, of, _ = _spread(*_coded([blank_words(rows["text"][k]) for _, _, k in keyed]), size)
         order = np.argsort(hashes, kind="stable")  # within a hash: by block, then by document
         hashes, docs = hashes[order], ids[of[order]]
         block = docs % n_blocks
@@ -136,20 +139,19 @@ def _confirm(n_blocks: int):
 class Passages:
     """Joined words of a block's documents with the confirmed passages found in them."""
 
-    def __init__(self, ids: np.ndarray, words: list[list[bytes]], size: int) -> None:
+    def __init__(self, ids: np.ndarray, coded: list[np.ndarray], size: int) -> None:
         self.size, self.gram = size, (size + 1) // 2
         self.reach = size - self.gram  # words on either side that a hit is extended by
-        vocabulary = Vocabulary()
         pad = [-1] * self.reach
         pieces, self.start, at = [np.array(pad, np.int64)], [], len(pad)
-        for k, w in enumerate(words):
+        for k, w in enumerate(coded):
             self.start.append(at)
-            pieces += [vocabulary.encode(w), np.array([-2 - k], np.int64)]
+            pieces += [w, np.array([-2 - k], np.int64)]
             at += len(w) + 1
         pieces.append(np.array(pad, np.int64))
         self.codes = np.concatenate(pieces)
         self.start = np.array(self.start, np.int64)
-        self.length = np.array([len(w) for w in words], np.int64)
+        self.length = np.array([len(w) for w in coded], np.int64)
         self.doc = np.repeat(ids, self.length + 1)
         self.doc = np.concatenate([np.full(len(pad), -1), self.doc, np.full(len(pad), -1)])
 
@@ -172,19 +174,30 @@ class Passages:
         place = first[passage] + nth * stride
         return np.stack([place, first[passage], end[passage], owner[passage]], axis=1)
 
+    def _letters(self, used: np.ndarray) -> tuple[str, np.ndarray]:
+        """The words as text, and where each word's letters start. A used word is three letters of
+        three small alphabets (so no match can start inside a word, and no node of the automaton
+        has many children), any other word is one letter that no gram has."""
+        base = max(2, round(len(used) ** (1 / 3)) + 1)
+        rank = np.searchsorted(used, self.codes)
+        known = used[np.minimum(rank, len(used) - 1)] == self.codes
+        first = np.concatenate(([0], np.cumsum(np.where(known, 3, 1))))
+        line = np.zeros(first[-1], "<u4")
+        at, rank = first[:-1][known], rank[known]
+        line[at] = 1 + rank // (base * base)
+        line[at + 1] = 1 + 2 * base + rank // base % base
+        line[at + 2] = 1 + 4 * base + rank % base
+        return line.tobytes().decode("utf-32-le"), first
+
     def occurrences(self, anchors: np.ndarray) -> np.ndarray:
         """Which words are covered by an occurrence behind its owner, by one automaton."""
-        used = np.unique(self.codes[(anchors[:, :1] + np.arange(self.gram)).ravel()])
-        letter = np.zeros(max(self.codes.max(initial=0), 0) + 1, "<u4")  # 0: in no anchor
-        letter[used] = np.arange(1, len(used) + 1)
-        letter += (letter >= 0xD800).astype("<u4") * 0x800  # no surrogates
-        line = np.where(self.codes >= 0, letter[np.maximum(self.codes, 0)], 0).astype("<u4")
-        text = line.tobytes().decode("utf-32-le")
+        text, first_letter = self._letters(np.unique(self.codes[(anchors[:, :1] + np.arange(self.gram)).ravel()]))
+        word_of = np.repeat(np.arange(len(self.codes)), np.diff(first_letter))
         groups: dict[str, dict] = {}
         for row, (place, low, high, owner) in enumerate(anchors.tolist()):
             around = self.codes[max(low, place - self.reach):min(high, place + self.gram + self.reach)]
             key = (around.tobytes(), place - low if place - low < self.reach else self.reach, owner)
-            groups.setdefault(text[place:place + self.gram], {}).setdefault(key, row)
+            groups.setdefault(text[first_letter[place]:first_letter[place + self.gram]], {}).setdefault(key, row)
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         members: list[int] = []
         first = [0]
@@ -201,7 +214,7 @@ class Passages:
             own = np.repeat(part, count[part])
             nth = np.arange(len(own)) - np.repeat(np.cumsum(count[part]) - count[part], count[part])
             row = anchors[member[first_of[found[own, 1]] + nth]]
-            self._extend(found[own, 0] - self.gram + 1, row, change)
+            self._extend(word_of[found[own, 0]] - self.gram + 1, row, change)
         return np.cumsum(change[:-1]) > 0
 
     def _extend(self, at: np.ndarray, row: np.ndarray, change: np.ndarray) -> None:
@@ -240,9 +253,9 @@ def _remove(size: int):
             order = np.argsort(hashes)
             hashes, owner = hashes[order], owner[order].view(np.int64)
             ids = np.array([rows[k]["doc_id"] for k in known], np.int64)
-            own = [words[k] for k in known]
-            block = Passages(ids, own, size)
-            found, of, start = _spread(own, size)
+            coded, vocabulary = _coded([words[k] for k in known])
+            block = Passages(ids, coded, size)
+            found, of, start = _spread(coded, vocabulary, size)
             slot = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
             at = np.flatnonzero(hashes[slot] == found)
             _, once = np.unique(slot[at], return_index=True)  # one text of each confirmed window

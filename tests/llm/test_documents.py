@@ -50,7 +50,7 @@ def test_remove_repeats_splits_the_automata(monkeypatch):
     rows = [(i, t) for i, t in ROWS if i is not None]
     ids = np.array([i for i, _ in sorted(rows, key=lambda r: r[0])], np.int64)
     words = [BLANK.findall((t or "").encode()) for _, t in sorted(rows, key=lambda r: r[0])]
-    block = substring.Passages(ids, words, 13)
+    block = substring.Passages(ids, substring._coded(words)[0], 13)
     first = np.array([s for s, n in zip(block.start, block.length) if n >= 13])
     end = np.array([s + n for s, n in zip(block.start, block.length) if n >= 13])
     owner = block.doc[first]
