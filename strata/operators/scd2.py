@@ -12,8 +12,9 @@ Semantics (per key, in sequence order):
 
 Plan, built so that no key, however hot, is ever held by a single task:
 
-1. Dedupe on (key, sequence) with a hash aggregate. Spark combines on the map side,
-   so even a group of copies holding a third of the log shrinks before the shuffle.
+1. Dedupe on (key, sequence) with an aggregate. Spark combines on the map side, so even
+   a group of copies holding a third of the log shrinks before the shuffle. (The payload is
+   a struct with text, so both sides of the aggregate sort.)
 2. Range-partition the deduplicated rows on (key, sequence) into P partitions. A hot
    key spans many partitions; every (key, partition) group has at most about N / P
    rows.
@@ -27,9 +28,8 @@ Plan, built so that no key, however hot, is ever held by a single task:
 
 The ranged rows and the flagged rows each feed two consumers (a per-partition summary
 and the next step). They are checkpointed to the shared ``spark.checkpoint.dir``
-instead of being recomputed per consumer; a checkpoint keeps the physical
-partitioning and order, so the second window pass needs no new shuffle, and it cuts
-the lineage, so a lost executor costs a re-read, not a recomputation.
+instead of being recomputed per consumer, which also cuts the lineage: a lost executor
+costs a re-read, not a recomputation. No session setting is changed on the way.
 """
 
 from __future__ import annotations
@@ -50,26 +50,12 @@ def _struct_or_const(df_col: str, names: Sequence[str]) -> Column:
     return F.struct(*[F.col(df_col)[n].alias(n) for n in names])
 
 
-def _materialize(df: DataFrame, checkpoint: bool, keep_partitioning: bool = False) -> DataFrame:
-    """Checkpoint ``df`` to the shared checkpoint folder.
-
-    With ``keep_partitioning`` the checkpoint job runs with AQE off: only then does
-    the checkpointed relation report the hash partitioning it was written with, so
-    the next window over the same keys reads it without another shuffle. The session
-    setting is restored right after the (eager) job.
-    """
+def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
+    """Checkpoint ``df`` to the shared checkpoint folder."""
     if not checkpoint:
         return df
-    spark = df.sparkSession
-    scratch_root(spark)  # the shared folder; set locally only when unset
-    if not keep_partitioning:
-        return df.checkpoint(eager=True)
-    previous = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    scratch_root(df.sparkSession)  # the shared folder; set locally only when unset
+    return df.checkpoint(eager=True)
 
 
 def scd2_history(
@@ -87,7 +73,7 @@ def scd2_history(
     ``except_columns`` are left out of the target (the sequence column may be one of
     them). ``tie_breaker`` orders rows that share a (key, sequence); by default all
     target columns other than the keys, in order. Rows with a NULL sequence cannot be
-    placed in time and are not part of the history. ``num_partitions`` (P) defaults to
+    placed in time and are not part of the history; ``unplaced`` counts them. ``num_partitions`` (P) defaults to
     ``spark.sql.shuffle.partitions``. ``checkpoint=False`` keeps the plan lazy (the
     intermediates are then recomputed by each consumer).
     """
@@ -152,7 +138,6 @@ def scd2_history(
         )
         .drop("__carry_t", "__carry_k", "__prev"),
         checkpoint,
-        keep_partitioning=True,
     )
 
     # 4b. per partition: first change of its first key, last change of its last key
@@ -226,6 +211,11 @@ def scd2_history(
     return versions.select(*out_cols, F.col("__vstart").alias(START), F.col(END))
 
 
+def unplaced(log: DataFrame, sequence_by: str) -> DataFrame:
+    """One row with ``n_rows``: how many change rows have a NULL sequence."""
+    return log.agg(F.count_if(F.col(sequence_by).isNull()).alias("n_rows"))
+
+
 def current_rows(history: DataFrame) -> DataFrame:
     """The open version of every key."""
     return history.filter(f"{END} IS NULL")

@@ -8,7 +8,7 @@ tests, a laptop) do we pick a local folder ourselves.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -68,8 +68,10 @@ def scratch_root(spark: SparkSession) -> str:
         if current:
             # getCheckpointDir() appends a per-application folder; keep its parent.
             root = current.rsplit("/", 1)[0]
-        else:
+        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             root = tempfile.mkdtemp(prefix="strata-checkpoints-")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -77,8 +79,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder for one run below the shared checkpoint folder."""
+    """A fresh, unique folder for one run below the shared checkpoint folder (created through
+    Hadoop's file system, so any shared store works)."""
     path = f"{scratch_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    hadoop_path, fs = hadoop_fs(spark, path)
+    fs.mkdirs(hadoop_path)
     return path
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(path object, file system) of ``path`` in the session's Hadoop configuration."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

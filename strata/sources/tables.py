@@ -7,14 +7,17 @@
 * ``write_clustered``: rows range-partitioned and sorted by the clustering key, so the
   parquet min/max statistics of each file cover a narrow key range and key filters
   skip files.
-* ``TableStore``: names → paths, plus table properties and comments kept in a small
-  catalog file next to the data.
+* ``write_version`` / ``read_version``: a table that is replaced as a whole. Each version
+  is a new folder and a small pointer file names the current one, so readers never see a
+  hole and a failed job leaves the old version in place.
+* ``TableStore``: names → paths; properties and comments are stored in the session's
+  catalog as an external table over the folder.
 """
 
 from __future__ import annotations
 
 import json
-import os
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +25,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.session import hadoop_fs
+from strata.sources.csv_feed import MAX_BYTES_PER_TRIGGER
+
+#: Bytes of rows (as text, before compression) that a clustered file aims at.
+FILE_BYTES = 512 * 1024 * 1024
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 @dataclass
 class TableStore:
-    """Folder layout ``<base>/<layer>/<table>`` plus a JSON catalog of properties."""
+    """Folder layout ``<base>/<layer>/<table>``; catalog database ``<database>_<layer>``."""
 
     base: str
+    database: str = "strata"
     layers: dict[str, str] = field(
         default_factory=lambda: {"bronze": "bronze", "silver": "silver", "gold": "gold"}
     )
@@ -38,53 +52,86 @@ class TableStore:
     def checkpoint(self, layer: str, name: str) -> str:
         return f"{self.base.rstrip('/')}/_checkpoints/{self.layers[layer]}/{name}"
 
-    def _catalog_file(self) -> str:
-        return f"{self.base.rstrip('/')}/_catalog.json"
+    def table(self, layer: str, name: str) -> str:
+        return f"`{self.database}_{self.layers[layer]}`.`{name}`"
 
     def declare(
         self,
+        spark: SparkSession,
         layer: str,
         name: str,
         properties: dict[str, str] | None = None,
         comment: str = "",
         schema: T.StructType | None = None,
     ) -> str:
-        """Register a table (properties, comment, optional schema) without writing data."""
+        """Register the table in the session's catalog with its properties and comment. The
+        schema is the stored one unless given (then the folder may still be empty)."""
         path = self.path(layer, name)
-        catalog_path = self._catalog_file()
-        if "://" in catalog_path and not catalog_path.startswith("file:"):
-            return path  # remote stores keep properties in their own catalog
-        local = catalog_path.replace("file:", "", 1)
-        os.makedirs(os.path.dirname(local), exist_ok=True)
-        catalog = {}
-        if os.path.exists(local):
-            with open(local) as fh:
-                catalog = json.load(fh)
-        catalog[f"{layer}.{name}"] = {
-            "path": path,
-            "properties": properties or {},
-            "comment": comment,
-            "schema": schema.json() if schema is not None else None,
-        }
-        with open(local, "w") as fh:
-            json.dump(catalog, fh, indent=2, sort_keys=True)
+        if schema is None:
+            schema = current_snapshot(spark, path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in sorted((properties or {}).items()))
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}_{self.layers[layer]}`")
+        spark.sql(f"DROP TABLE IF EXISTS {self.table(layer, name)}")  # external: the data stay
+        spark.sql(
+            f"CREATE TABLE {self.table(layer, name)} ({columns}) USING parquet "
+            f"LOCATION {_sql_text(current_path(spark, path))} COMMENT {_sql_text(comment)} "
+            + (f"TBLPROPERTIES ({pairs})" if pairs else ""))
         return path
 
-    def describe(self, layer: str, name: str) -> dict:
-        local = self._catalog_file().replace("file:", "", 1)
-        with open(local) as fh:
-            return json.load(fh)[f"{layer}.{name}"]
+    def declare_view(
+        self,
+        spark: SparkSession,
+        layer: str,
+        name: str,
+        folders: list[str],
+        properties: dict[str, str],
+        comment: str = "",
+    ) -> None:
+        """Register a table that lives in several folders as a view, with its properties."""
+        pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in sorted(properties.items()))
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}_{self.layers[layer]}`")
+        body = " UNION ALL ".join(f"SELECT * FROM parquet.`{f}`" for f in folders)
+        spark.sql(f"CREATE OR REPLACE VIEW {self.table(layer, name)} COMMENT {_sql_text(comment)} "
+                  f"TBLPROPERTIES ({pairs}) AS {body}")
+
+    def properties(self, spark: SparkSession, layer: str, name: str) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {self.table(layer, name)}").collect()}
+
+    def describe(self, spark: SparkSession, layer: str, name: str) -> dict:
+        """path, properties, comment and columns of a declared table."""
+        info = {r["col_name"]: r["data_type"] for r in spark.sql(
+            f"DESCRIBE TABLE EXTENDED {self.table(layer, name)}").collect()}
+        return {
+            "path": self.path(layer, name),
+            "comment": info.get("Comment", ""),
+            "properties": self.properties(spark, layer, name),
+            "columns": spark.table(self.table(layer, name)).columns,
+        }
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """New rows of a stored table as a stream (schema taken from the table if omitted)."""
+def read_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER,
+) -> DataFrame:
+    """New rows of a stored table as a stream (schema taken from the table if omitted), in
+    micro-batches of bounded size."""
     if schema is None:
         schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(path)
+
+
+def stream_in_batches(spark: SparkSession, path: str, batches: int) -> DataFrame:
+    """A stored table as a stream of about ``batches`` micro-batches, by shares of its files."""
+    stored = spark.read.parquet(path)
+    files = max(1, math.ceil(len(stored.inputFiles()) / batches))
+    return spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
 def append_stream(
@@ -117,6 +164,11 @@ def run_once(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as text, measured in one aggregate."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+
+
 def write_clustered(
     df: DataFrame,
     path: str,
@@ -129,10 +181,11 @@ def write_clustered(
     Each output file then holds a narrow, non-overlapping key range, which is what
     lets parquet min/max statistics skip files on key predicates. A row hash is the
     second range column, so a key holding a large share of the rows is split over
-    several files (each with min = max = that key) instead of one task.
+    several files (each with min = max = that key) instead of one task. The number of
+    files follows the measured bytes unless given.
     """
     if num_files is None:
-        num_files = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        num_files = max(1, math.ceil(stored_bytes(df) / FILE_BYTES))
     spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__spread")
     (
         df.withColumn("__spread", spread)
@@ -142,3 +195,72 @@ def write_clustered(
         .write.mode(mode)
         .parquet(path)
     )
+
+
+# -- small files through Hadoop's file system ------------------------------------------
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None only if the file does not exist. Any other error is raised."""
+    hadoop_path, fs = hadoop_fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(hadoop_path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file: under another name first, then renamed, so it appears whole."""
+    hadoop_path, fs = hadoop_fs(spark, path)
+    part, _ = hadoop_fs(spark, f"{path}.part")
+    stream = fs.create(part, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if fs.exists(hadoop_path):
+        fs.delete(hadoop_path, False)
+    if not fs.rename(part, hadoop_path):
+        raise OSError(f"could not rename {path}.part")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    hadoop_path, fs = hadoop_fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))
+
+
+# -- versioned tables ---------------------------------------------------------------------
+
+
+def _pointers(path: str) -> str:
+    return f"{path.rstrip('/')}/_current"
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of the current version, or ``path`` itself for a table without versions."""
+    names = [n for n in list_names(spark, _pointers(path)) if n.isdigit()]
+    if not names:
+        return path
+    return json.loads(read_text(spark, f"{_pointers(path)}/{names[-1]}"))["path"]
+
+
+def current_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return read_snapshot(spark, current_path(spark, path))
+
+
+def replace_clustered(df: DataFrame, path: str, cluster_by: str, num_files: int | None = None) -> None:
+    """Write a new version of the table at ``path`` and switch to it. The pointer is a new,
+    whole file per version, so a reader sees the old or the new version, never neither."""
+    spark = df.sparkSession
+    names = [n for n in list_names(spark, _pointers(path)) if n.isdigit()]
+    version = int(names[-1]) + 1 if names else 0
+    folder = f"{path.rstrip('/')}/v{version:012d}"
+    write_clustered(df, folder, cluster_by, num_files)
+    write_text(spark, f"{_pointers(path)}/{version:012d}", json.dumps({"path": folder}))
