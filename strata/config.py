@@ -85,12 +85,11 @@ OPTIONAL_RULES = {
     "products": [("valid_weight", "product_weight_g > 0")],
 }
 
-DOMAINS = {
-    "orders": "orders",
-    "order_items": "order_items",
-    "customers": "customers",
-    "products": "products",
-    "product_category": "product_category",
+# Domain (entity) that each gold table belongs to.
+GOLD_DOMAINS = {
+    "dim_customers": "customers",
+    "dim_products": "products",
+    "fct_order_items": "order_items",
 }
 
 # SCD type 2 parameters of the customer history.
@@ -101,6 +100,9 @@ CUSTOMER_SCD2 = {
     "track_history_except": ["customer_unique_id"],
 }
 
+# Columns that hold personal data.
+PII_COLUMNS = {"customers": ["customer_zip_code_prefix"]}
+
 AUDIT_COLUMNS = [
     "_ingest_timestamp", "_source_file", "_processing_timestamp",
     "_dimension_refresh_timestamp", "_fact_processing_timestamp",
@@ -123,7 +125,6 @@ class Entity:
     keys: tuple[str, ...]
     source_dir: str
     rules: tuple[Rule, ...]
-    domain: str
     pii_columns: tuple[str, ...] = field(default_factory=tuple)
 
     @property
@@ -139,13 +140,17 @@ class Entity:
         return T.StructType(fields)
 
     def table_properties(self, layer: str) -> dict[str, str]:
-        return {
-            "quality": layer,
-            "layer": layer,
-            "domain": self.domain,
-            "clustering.columns": ",".join(self.keys[:1]),
-            "change.feed": "false" if layer == "gold" else "true",
-        }
+        return table_properties(layer, self.name, self.cluster_by)
+
+
+def table_properties(layer: str, domain: str, cluster_by: str) -> dict[str, str]:
+    return {
+        "quality": layer,
+        "layer": layer,
+        "domain": domain,
+        "clustering.columns": cluster_by,
+        "change.feed": "false" if layer == "gold" else "true",
+    }
 
 
 def entity(name: str) -> Entity:
@@ -155,11 +160,17 @@ def entity(name: str) -> Entity:
         keys=tuple(KEYS[name]),
         source_dir=SOURCE_DIRS[name],
         rules=tuple(Rule(n, p) for n, p in SILVER_RULES[name]),
-        domain=DOMAINS[name],
-        pii_columns=("customer_zip_code_prefix",) if name == "customers" else (),
+        pii_columns=tuple(PII_COLUMNS.get(name, ())),
     )
 
 
+def tag_pii(df):
+    """Mark the personal columns of ``df`` in its schema (``pii`` in the field's metadata)."""
+    for name in {c for columns in PII_COLUMNS.values() for c in columns} & set(df.columns):
+        df = df.withMetadata(name, {"pii": True})
+    return df
+
+
 ENTITIES = {name: entity(name) for name in RAW_COLUMNS}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.config import CUSTOMER_SCD2
+from strata.config import CUSTOMER_SCD2, tag_pii
 from strata.operators import scd2
 
 CUSTOMER_DIM_COLUMNS = [
@@ -40,22 +40,22 @@ FACT_COLUMNS = [
 def customer_history(preprocessed: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """SCD2 history of customers keyed by ``customer_id``, sequenced by ingest time;
     a change of ``customer_unique_id`` alone opens no version."""
-    return scd2.scd2_history(
+    return tag_pii(scd2.scd2_history(
         preprocessed,
         keys=CUSTOMER_SCD2["keys"],
         sequence_by=CUSTOMER_SCD2["sequence_by"],
         except_columns=CUSTOMER_SCD2["except_columns"],
         track_history_except=CUSTOMER_SCD2["track_history_except"],
         num_partitions=num_partitions,
-    )
+    ))
 
 
 def dim_customers(history: DataFrame) -> DataFrame:
     """Current version of every customer."""
-    return scd2.current_rows(history).select(
+    return tag_pii(scd2.current_rows(history).select(
         *CUSTOMER_DIM_COLUMNS,
         F.current_timestamp().alias("_dimension_refresh_timestamp"),
-    )
+    ))
 
 
 def dim_products(silver_products: DataFrame) -> DataFrame:
@@ -112,8 +112,8 @@ def fct_order_items_bounded(
     orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
+    max_gap: str,
     lateness: str = "1 day",
-    max_gap: str = "3650 days",
 ) -> DataFrame:
     """Streaming fact with bounded join state (opt-in variant of ``fct_order_items``).
 
@@ -124,7 +124,8 @@ def fct_order_items_bounded(
     ``customers`` and ``products`` are static dimension snapshots (stream-static
     joins, no state). Pairs outside the time bound, rows without an event time and
     rows arriving behind the watermark are not joined: that is the price of bounded
-    state, and why the unbounded form stays the default.
+    state, and why the unbounded form stays the default. ``unmatched_items`` counts what
+    a given ``max_gap`` leaves out.
     """
     i = items.select(*ITEM_FACT_COLUMNS).withWatermark("shipping_limit_date", lateness)
     o = (
@@ -149,3 +150,21 @@ def fct_order_items_bounded(
         *FACT_COLUMNS,
         F.current_timestamp().alias("_fact_processing_timestamp"),
     )
+
+
+def unmatched_items(items: DataFrame, orders: DataFrame, max_gap: str) -> DataFrame:
+    """One row: ``n_items``, ``n_without_order`` and ``n_beyond_gap`` (an order exists, but none
+    within ``max_gap`` of the item). Items are counted per order and date first, so a hot order
+    is few rows in the join."""
+    gap = F.expr(f"INTERVAL {max_gap}")
+    i = items.groupBy("order_id", "shipping_limit_date").agg(F.count(F.lit(1)).alias("n"))
+    o = orders.groupBy("order_id").agg(
+        F.collect_set("order_purchase_timestamp").alias("bought")).withColumn("known", F.lit(True))
+    near = F.exists("bought", lambda t: F.col("shipping_limit_date").between(t - gap, t + gap))
+    joined = i.join(o, "order_id", "left")
+    known = F.coalesce(F.col("known"), F.lit(False))
+    return joined.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_items"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_without_order"),
+        F.coalesce(F.sum(F.when(known & ~F.coalesce(near, F.lit(False)), F.col("n"))), F.lit(0)).alias("n_beyond_gap"),
+    )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.config import rules_for
+from strata.config import rules_for, tag_pii
 from strata.functions import scalars as S
 from strata.operators.quality import expect_or_drop
 
@@ -108,7 +108,7 @@ def silver_customers_preprocessed(
         *_audit(bronze),
     )
     joiner = S.joined_location if location == "skip_nulls" else S.joined_location_strict
-    out = typed.withColumn("customer_location", joiner("customer_city", "customer_state"))
+    out = tag_pii(typed.withColumn("customer_location", joiner("customer_city", "customer_state")))
     return _rules(out, rules_for("customers"), apply_rules)
 
 

@@ -1,0 +1,58 @@
+"""Observed metrics of a streaming run, summed over all of its micro-batches.
+
+A query keeps only its last 100 progress entries; a listener sees every one, so the sums are
+whole however many batches a run has.
+"""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+class MetricSums(StreamingQueryListener):
+    """Sums of the metrics observed under ``name``; use as a context manager around the run."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self._spark, self._name = spark, name
+        self._sums: dict[str, dict[str, int]] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def __enter__(self) -> MetricSums:
+        self._spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._spark.streams.removeListener(self)
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        row = event.progress.observedMetrics.get(self._name)
+        if row is None:
+            return
+        with self._lock:
+            sums = self._sums.setdefault(str(event.progress.runId), {})
+            for key, value in row.asDict().items():
+                sums[key] = sums.get(key, 0) + int(value)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._end(str(event.runId)).set()
+
+    def of(self, query: StreamingQuery, timeout: float = 300.0) -> dict[str, int]:
+        """Sums of an ended query. Progress events arrive before the end event, in order."""
+        if not self._end(str(query.runId)).wait(timeout):
+            raise TimeoutError("the end of the streaming query was not reported")
+        with self._lock:
+            return dict(self._sums.get(str(query.runId), {}))
