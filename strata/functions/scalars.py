@@ -29,23 +29,14 @@ def parse_ts(c: str | Column, fmt: str = TIMESTAMP_FORMAT, strict: bool = False)
     return F.to_timestamp(c, fmt) if strict else F.try_to_timestamp(c, F.lit(fmt))
 
 
-def both_present(a: str | Column, b: str | Column) -> Column:
-    return _c(a).isNotNull() & _c(b).isNotNull()
-
-
-def guarded(a: str | Column, b: str | Column, value: Column) -> Column:
-    """``value`` when both inputs exist, NULL otherwise."""
-    return F.when(both_present(a, b), value).otherwise(F.lit(None))
-
-
 def day_span(end: str | Column, start: str | Column) -> Column:
     """Signed whole calendar days from ``start`` to ``end``; NULL if either is NULL."""
-    return guarded(end, start, F.datediff(_c(end), _c(start)))
+    return F.datediff(_c(end), _c(start))
 
 
 def later_than(a: str | Column, b: str | Column) -> Column:
     """``a > b`` as timestamps; NULL if either is NULL."""
-    return guarded(a, b, _c(a) > _c(b))
+    return _c(a) > _c(b)
 
 
 def late_by_day(delay_days: str | Column) -> Column:

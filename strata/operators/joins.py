@@ -1,4 +1,4 @@
-"""Join helpers: broadcast behind a counted size check, and a salted join for hot keys.
+"""Join helpers: broadcast behind a measured size check, and a salted join for hot keys.
 
 Batch joins otherwise stay plain equi-joins: with AQE on, Spark converts a join to a
 broadcast only after measuring the finished shuffle stage (a proven size), and splits
@@ -8,35 +8,27 @@ skewed shuffle partitions of sort-merge joins by itself.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Default bounds for an explicit broadcast: rows and estimated bytes.
+from strata.session import scratch_dir
+
+# Default bounds for an explicit broadcast: rows and measured bytes.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-# Assumed widths per type, in bytes (Spark's own planning defaults: text counts 20).
-_TYPE_BYTES = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-    T.TimestampNTZType: 8, T.DecimalType: 16, T.StringType: 20, T.BinaryType: 100,
-}
-
-
-def _type_bytes(dtype: T.DataType) -> int:
-    if isinstance(dtype, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, (T.ArrayType, T.MapType)):
-        return 100
-    return _TYPE_BYTES.get(type(dtype), 20)
-
-
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Per-row width from assumed type sizes (strings count 20 bytes)."""
-    return max(1, sum(_type_bytes(f.dataType) for f in df.schema.fields))
+def _cell_bytes(name: str, dtype: T.DataType) -> Column:
+    """Bytes that a value takes: its text or binary length, 16 for any fixed-width value, and the
+    length of the JSON text for nested values."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 16
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(name)))), F.lit(0)) + 16
+    return F.lit(16)
 
 
 def broadcast_fits(
@@ -44,15 +36,19 @@ def broadcast_fits(
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and fits ``max_bytes``.
+    """True when ``df`` has at most ``max_rows`` rows and at most ``max_bytes`` bytes.
 
-    The count stops at ``max_rows + 1`` rows, so checking a large input costs at most
-    that many rows per partition; on a stored table it is answered from file footers.
+    Both are measured in one aggregate; ``limit`` stops the scan of a large input at
+    ``max_rows + 1`` rows per partition.
     """
     if df.isStreaming:
         return False
-    limit = min(max_rows, max_bytes // estimated_row_bytes(df))
-    return df.limit(limit + 1).count() <= limit
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        width = width + _cell_bytes(f.name, f.dataType)
+    seen = df.select(width.alias("w")).limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("w").alias("bytes")).first()
+    return seen["n"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
 
 
 def sized_broadcast(
@@ -60,24 +56,16 @@ def sized_broadcast(
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    """``broadcast(df)`` if it passes the counted size check, else ``df`` unchanged
+    """``broadcast(df)`` if it passes the measured size check, else ``df`` unchanged
     (the join then shuffles, and AQE may still broadcast it after measuring)."""
     return F.broadcast(df) if broadcast_fits(df, max_rows, max_bytes) else df
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], min_rows: int, max_keys: int = 10_000
-) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows, most frequent first, at most
-    ``max_keys`` of them (a bounded list, safe to broadcast). Keys beyond the list are
-    still joined exactly, just without salting."""
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Every key holding at least ``min_rows`` rows, with its row count ``__n``: at most
+    1 / ``min_rows`` of the rows, whatever the data."""
     return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") >= min_rows)
-        .orderBy(F.col("__n").desc())
-        .limit(max_keys)
-        .select(*keys)
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_rows)
     )
 
 
@@ -86,33 +74,34 @@ def salted_join(
     other: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    salts: int = 32,
     min_rows: int = 1_000_000,
-    max_keys: int = 10_000,
 ) -> DataFrame:
-    """Equi-join that spreads each hot key of ``big`` over ``salts`` tasks.
+    """Equi-join that spreads each hot key of ``big`` over one task per ``min_rows`` rows.
 
-    Rows of ``big`` with a hot key get a salt from a hash of the whole row
-    (deterministic, so a recomputed task produces the same split); the matching rows
-    of ``other`` are copied once per salt. Other keys use salt 0 on both sides. The
-    result equals the plain join for ``how`` in {inner, left} with ``big`` on the left.
+    The hot keys are counted once and stored. Rows of ``big`` with a hot key get a salt from
+    a hash of the whole row (deterministic, so a recomputed task produces the same split);
+    the matching rows of ``other`` are copied once per salt. NULL keys match nothing; in a
+    left join they are spread by the same hash. The result equals the plain join for ``how``
+    in {inner, left} with ``big`` on the left.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, min_rows, max_keys).withColumn("__hot", F.lit(True)))
-    big_marked = big.join(hot, on=keys, how="left")
+    spark = big.sparkSession
+    path = f"{scratch_dir(spark, 'hot-keys')}/keys"
+    not_null = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    salts = F.ceil(F.col("__n") / min_rows).cast("int").alias("__salts")
+    hot_keys(big.filter(not_null), keys, min_rows).select(*keys, salts).write.parquet(path)
+    hot = sized_broadcast(spark.read.parquet(path))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    big_salted = big_marked.withColumn(
+    big_salted = big.join(hot, on=keys, how="left").withColumn(
         "__salt",
-        F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)),
-    ).drop("__hot")
-    other_marked = other.join(hot, on=keys, how="left")
-    other_salted = other_marked.withColumn(
+        F.when(~not_null, row_hash)
+        .when(F.col("__salts").isNotNull(), F.pmod(row_hash, F.col("__salts")))
+        .otherwise(F.lit(0)),
+    ).drop("__salts")
+    other_salted = other.join(hot, on=keys, how="left").withColumn(
         "__salt",
-        F.explode(
-            F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-            .otherwise(F.array(F.lit(0)))
-        ),
-    ).drop("__hot")
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)),
+    ).withColumn("__salt", F.col("__salt").cast("long")).drop("__salts")
     return big_salted.join(other_salted, on=keys + ["__salt"], how=how).drop("__salt")

@@ -23,15 +23,8 @@ CUSTOMER_BATCHES = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table. A scan with fewer splits than the cluster has cores (a
-    small file with a single row group) is spread round-robin over the default
-    parallelism, so the per-row parsing above it is not left to one task; a large,
-    many-split input is returned as scanned, with no extra shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """Read one test table as scanned (the session's split size decides on the tasks)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _fmt(c: Column) -> Column:

@@ -382,7 +382,8 @@ cust_all AS (
 SELECT 'silver_orders' AS dataset, order_id AS key_value, count(*) AS n_rows
   FROM silver_orders GROUP BY order_id HAVING count(*) > 1 OR order_id IS NULL
 UNION ALL
-SELECT 'silver_order_items', concat_ws('|', order_id, CAST(order_item_id AS VARCHAR)), count(*)
+SELECT 'silver_order_items',
+  concat_ws('|', coalesce(order_id, '\\N'), coalesce(CAST(order_item_id AS VARCHAR), '\\N')), count(*)
   FROM silver_order_items GROUP BY order_id, order_item_id
   HAVING count(*) > 1 OR order_id IS NULL OR order_item_id IS NULL
 UNION ALL
@@ -432,7 +433,70 @@ flags AS (
   FROM net GROUP BY customer_id)
 SELECT CASE WHEN net > 0 THEN CASE WHEN had_old THEN 'update_postimage' ELSE 'insert' END
             ELSE CASE WHEN has_new THEN 'update_preimage' ELSE 'delete' END END AS _change_type,
-  {CUSTOMER_COLS}
-FROM net JOIN flags ON customer_id IS NOT DISTINCT FROM fk,
-  LATERAL (SELECT unnest(generate_series(1, CAST(abs(net) AS BIGINT)))) AS copies(n)"""
+  {CUSTOMER_COLS}, CAST(abs(net) AS BIGINT) AS n_copies
+FROM net JOIN flags ON customer_id IS NOT DISTINCT FROM fk"""
+
+    q["bronze_lineage"] = _with(CUST_BASE, CUSTOMERS_FEED) + (
+        "SELECT 'olist_customers_dataset.csv' AS source_folder, count(*) AS n_rows, "
+        "CAST(0 AS BIGINT) AS n_corrupt FROM customers_feed")
+    q["dq_metrics_stream"] = _with(*PRODUCT_CTES) + _rule_rows(
+        "silver_products", "silver_products_all", SILVER_RULES["products"] + OPTIONAL_RULES["products"])
+    fact_ctes = (*ORDERS_CTES, *ITEMS_CTES, *PRODUCT_CTES, DIM_PRODUCTS)
+    q["fct_order_items_bounded"] = _with(*fact_ctes, *HISTORY_CTES, FACT) + """
+SELECT * FROM fct_order_items
+WHERE shipping_limit_date BETWEEN order_purchase_timestamp - INTERVAL 60 DAYS
+                              AND order_purchase_timestamp + INTERVAL 60 DAYS"""
+    q["fct_order_items_unmatched"] = _with(*ORDERS_CTES, *ITEMS_CTES) + """
+SELECT count(*) AS n_items,
+  CAST(count_if(order_id NOT IN (SELECT order_id FROM silver_orders)) AS BIGINT) AS n_without_order,
+  CAST(count_if(order_id IN (SELECT order_id FROM silver_orders) AND NOT EXISTS (
+    SELECT 1 FROM silver_orders o WHERE o.order_id = i.order_id
+      AND i.shipping_limit_date BETWEEN o.order_purchase_timestamp - INTERVAL 60 DAYS
+                                    AND o.order_purchase_timestamp + INTERVAL 60 DAYS)) AS BIGINT) AS n_beyond_gap
+FROM silver_order_items i"""
+    q["items_by_product_salted"] = _with(*ITEMS_CTES, *PRODUCT_CTES) + """
+SELECT i.order_id, i.order_item_id, i.product_id, p.product_category_name
+FROM silver_order_items i LEFT JOIN silver_products p ON i.product_id = p.product_id"""
+    delivered = _preprocess("customers_feed", "dim_customers")
+    q["runner_incremental"] = _with(*fact_ctes, CUST_BASE, CUSTOMERS_FEED, delivered, FACT) + (
+        "SELECT * FROM fct_order_items")
+    props = [
+        ("silver", "silver_orders", "orders", "order_id", "silver_orders"),
+        ("silver", "silver_products", "products", "product_id", "silver_products"),
+        ("gold", "dim_products", "products", "product_id", "dim_products"),
+        ("gold", "fct_order_items", "order_items", "order_id", "fct_order_items"),
+    ]
+    rows = []
+    for layer, name, domain, cluster, source in props:
+        values = {"quality": layer, "layer": layer, "domain": domain, "clustering.columns": cluster,
+                  "change.feed": "false" if layer == "gold" else "true"}
+        rows += [
+            f"SELECT '{name}' AS table_name, '{layer}/{name}' AS place, 'Table {name}' AS table_comment, "
+            f"'{k}' AS property, '{v}' AS property_value, count(*) AS n_rows FROM {source}"
+            for k, v in values.items()]
+    q["table_properties"] = _with(*fact_ctes, *HISTORY_CTES, FACT) + " UNION ALL ".join(rows)
+    q["clustered_ranges"] = _with(*ORDERS_CTES) + (
+        "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_overlaps FROM silver_orders")
+    schemas = {
+        "silver_orders": ("silver_orders", [
+            ("order_id", "string"), ("customer_id", "string"), ("order_status", "string"),
+            ("order_purchase_timestamp", "timestamp_ntz"), ("order_approved_at", "timestamp_ntz"),
+            ("order_delivered_carrier_date", "timestamp_ntz"), ("order_delivered_customer_date", "timestamp_ntz"),
+            ("order_estimated_delivery_date", "timestamp_ntz"), ("delivery_delay_days", "int"),
+            ("order_processing_days", "int"), ("is_late_delivery", "boolean")]),
+        "silver_customers_preprocessed": ("cp", [(c.strip(), "string") for c in CUSTOMER_COLS.split(",")]),
+        "dim_customers": ("dim_customers", [(c.strip(), "string") for c in CUSTOMER_COLS.split(",")]),
+    }
+    q["dataset_schemas"] = _with(
+        *ORDERS_CTES, *HISTORY_CTES, CUSTOMERS_FEED, _preprocess("customers_feed", "cp")
+    ) + " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS n_rows, '{column}' AS column_name, '{kind}' AS type, "
+        f"{str(column == 'customer_zip_code_prefix').lower()} AS pii FROM {source}"
+        for name, (source, columns) in schemas.items() for column, kind in columns)
+    q["location_strict"] = _with(CUST_BASE, CUSTOMERS_FEED, _preprocess("customers_feed", "cp")) + (
+        "SELECT customer_id, customer_city || ', ' || customer_state AS customer_location FROM cp")
+    q["processing_stamps"] = _with(*ORDERS_CTES, *PRODUCT_CTES) + " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS n_stamped FROM {source}"
+        for name, source in (("silver_orders", "silver_orders"), ("silver_products", "silver_products"),
+                             ("dim_products", "silver_products")))
     return q

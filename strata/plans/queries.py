@@ -12,21 +12,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.config import AUDIT_COLUMNS, CUSTOMER_SCD2, ENTITIES, rules_for
+from strata.config import (
+    AUDIT_COLUMNS, CUSTOMER_SCD2, ENTITIES, GOLD_DOMAINS, rules_for, table_properties,
+)
 from strata.operators import changes, quality, scd2
-from strata.operators.joins import sized_broadcast
+from strata.operators.joins import salted_join, sized_broadcast
 from strata.plans import feeds, gold, silver
+from strata.plans.bronze import ingest
 from strata.session import scratch_dir
 from strata.sources.csv_feed import write_csv_feed
 from strata.sources.tables import (
-    TableStore, append_stream, read_snapshot, read_stream, run_once,
+    TableStore, append_stream, current_snapshot, read_snapshot, run_once, stream_in_batches,
+    write_clustered,
 )
+from strata.streaming.runner import RunReport, run_layers, silver_stream
 from strata.streaming.scd2_incremental import IncrementalHistory
 
+#: Time bound of the bounded streaming fact, and the lateness its watermarks allow.
+MAX_GAP, LATENESS = "60 days", "36500 days"
+
 
 def edge(df: DataFrame) -> DataFrame:
     """Drop wall-clock audit columns; timestamps as ``timestamp_ntz``."""
@@ -70,7 +78,7 @@ def _category(spark, sf_dir, **kw) -> DataFrame:
 
 def _products(spark, sf_dir, **kw) -> DataFrame:
     return silver.silver_products(
-        feeds.products_feed(_t(spark, sf_dir, "part")), _category(spark, sf_dir), **kw)
+        feeds.products_feed(_t(spark, sf_dir, "part")), sized_broadcast(_category(spark, sf_dir)), **kw)
 
 
 def q_silver_orders(spark, sf_dir):
@@ -133,7 +141,7 @@ def _fact(spark, sf_dir) -> DataFrame:
         _items(spark, sf_dir),
         _orders(spark, sf_dir),
         gold.dim_customers(_history(spark, sf_dir)),
-        gold.dim_products(_products(spark, sf_dir)),
+        sized_broadcast(gold.dim_products(_products(spark, sf_dir))),
     )
 
 
@@ -168,7 +176,12 @@ def q_dq_metrics(spark, sf_dir):
 
 
 def _key_text(keys: list[str]):
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key_value")
+    """Key values joined by ``|``; NULL is ``\\N``, and ``\\`` and ``|`` in a value are escaped."""
+    parts = [
+        F.coalesce(F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")),
+                             F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+        for k in keys]
+    return F.concat_ws("|", *parts).alias("key_value")
 
 
 def q_pk_check(spark, sf_dir):
@@ -205,8 +218,15 @@ def q_fk_check(spark, sf_dir):
     return out
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder, for several readers."""
+    path = f"{scratch_dir(df.sparkSession, name)}/data"
+    df.write.parquet(path)
+    return read_snapshot(df.sparkSession, path)
+
+
 def q_snapshot_changes(spark, sf_dir):
-    history = _history(spark, sf_dir)
+    history = _stored(_history(spark, sf_dir), "history")
     first = F.to_timestamp(F.lit(feeds.CUSTOMER_BATCHES[0]))
     before = scd2.as_of(history, first).select(*gold.CUSTOMER_DIM_COLUMNS)
     after = scd2.current_rows(history).select(*gold.CUSTOMER_DIM_COLUMNS)
@@ -215,59 +235,92 @@ def q_snapshot_changes(spark, sf_dir):
 
 # -- streaming forms --------------------------------------------------------------------
 
-def _bronze_query(entity: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Stage the feed as CSV in two deliveries, ingest after each, return the table."""
+def _stage_feed(spark: SparkSession, sf_dir: str, entity: str, root: str) -> tuple[DataFrame, object]:
+    """The entity's feed, written once, and a condition that splits it into two deliveries."""
+    ent = ENTITIES[entity]
+    feed = _stored(feeds.raw_feeds(spark, sf_dir)[entity], f"feed-{entity}")
+    return feed, F.pmod(F.xxhash64(*[F.col(c) for c in ent.raw_columns]), F.lit(2)) == 0
 
+
+def _ingested(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Stage the feed as CSV in two deliveries, ingest after each and once more."""
+    ent = ENTITIES[entity]
+    root = scratch_dir(spark, f"bronze-{entity}")
+    source = f"{root}/landing"
+    store = TableStore(f"{root}/tables")
+    feed, first = _stage_feed(spark, sf_dir, entity, root)
+    write_csv_feed(feed.filter(first), f"{source}/{ent.source_dir}")
+    ingest(spark, ent, source, store)
+    write_csv_feed(feed.filter(~first), f"{source}/{ent.source_dir}")
+    ingest(spark, ent, source, store)
+    ingest(spark, ent, source, store)  # nothing new: adds no rows
+    return read_snapshot(spark, store.path("bronze", f"bronze_{entity}"))
+
+
+def _bronze_query(entity: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from strata.plans.bronze import ingest
-
-        ent = ENTITIES[entity]
-        root = scratch_dir(spark, f"bronze-{entity}")
-        source = f"{root}/landing"
-        store = TableStore(f"{root}/tables")
-        feed = feeds.raw_feeds(spark, sf_dir)[entity]
-        first = F.pmod(F.xxhash64(*[F.col(c) for c in ent.raw_columns]), F.lit(2)) == 0
-        files = spark.sparkContext.defaultParallelism
-        write_csv_feed(feed.filter(first), f"{source}/{ent.source_dir}", files=files)
-        ingest(spark, ent, source, store)
-        write_csv_feed(feed.filter(~first), f"{source}/{ent.source_dir}", files=files)
-        ingest(spark, ent, source, store)
-        ingest(spark, ent, source, store)  # nothing new: adds no rows
-        return read_snapshot(spark, store.path("bronze", f"bronze_{entity}")).select(
-            *ent.raw_columns)
+        return _ingested(spark, sf_dir, entity).select(*ENTITIES[entity].raw_columns)
 
     run.__name__ = f"q_bronze_{entity}"
     return run
 
 
+def q_bronze_lineage(spark, sf_dir):
+    """Lineage of the raw rows: folder of the source file, rows with an ingest time, lines that
+    did not fit the schema."""
+    raw = _ingested(spark, sf_dir, "customers")
+    folder = F.element_at(F.split("_source_file", "/"), -2)
+    return raw.groupBy(folder.alias("source_folder")).agg(
+        F.count("_ingest_timestamp").alias("n_rows"), F.count("_corrupt_record").alias("n_corrupt"))
+
+
+def _stream_files(df: DataFrame, path: str, batches: int) -> DataFrame:
+    """Store ``df`` in enough files for ``batches`` micro-batches and read it as a stream."""
+    stored = _stored(df, "stream-input")
+    each = max(1, -(-stored.count() // batches))
+    stored.write.option("maxRecordsPerFile", str(each)).parquet(path)
+    return stream_in_batches(df.sparkSession, path, batches)
+
+
 def q_silver_products_stream(spark, sf_dir):
     root = scratch_dir(spark, "products-stream")
-    raw_path, cat_path, out = f"{root}/raw_products", f"{root}/category", f"{root}/silver_products"
-    feeds.products_feed(_t(spark, sf_dir, "part")).repartition(4).write.parquet(raw_path)
-    _category(spark, sf_dir).write.parquet(cat_path)
-    category = sized_broadcast(read_snapshot(spark, cat_path))
-    stream = spark.readStream.schema(spark.read.parquet(raw_path).schema).option(
-        "maxFilesPerTrigger", "1").parquet(raw_path)
+    out = f"{root}/silver_products"
+    category = sized_broadcast(_stored(_category(spark, sf_dir), "category"))
+    stream = _stream_files(feeds.products_feed(_t(spark, sf_dir, "part")), f"{root}/raw_products", 4)
     run_once(append_stream(silver.silver_products(stream, category), out, f"{root}/_chk"))
     return edge(read_snapshot(spark, out))
 
 
-def q_fct_order_items_stream(spark, sf_dir):
-    """Fact from four streams (stream-stream inner joins), each fed in several files."""
-    root = scratch_dir(spark, "fact-stream")
-    inputs = {
+def q_dq_metrics_stream(spark, sf_dir):
+    """Rule counts of a clean stream, summed over more than a hundred micro-batches."""
+    root = scratch_dir(spark, "dq-stream")
+    store, report = TableStore(root, database="strata_dq"), RunReport()
+    stream = _stream_files(feeds.products_feed(_t(spark, sf_dir, "part")), f"{root}/raw", 110)
+    category = sized_broadcast(_stored(_category(spark, sf_dir), "category"))
+    silver_stream(spark, store, "silver_products",
+                  silver.silver_products(stream, category, apply_rules=False), "products", report,
+                  optional_rules=True)
+    rows = report.rows_read["silver_products"]
+    return spark.createDataFrame(
+        [("silver_products", rule, rows - failed, failed)
+         for rule, failed in report.rule_failures["silver_products"].items()],
+        "dataset string, rule string, passed long, failed long")
+
+
+def _fact_inputs(spark, sf_dir) -> dict[str, DataFrame]:
+    return {
         "items": _items(spark, sf_dir),
         "orders": _orders(spark, sf_dir),
         "customers": gold.dim_customers(_history(spark, sf_dir)),
         "products": gold.dim_products(_products(spark, sf_dir)),
     }
-    streams = {}
-    for name, df in inputs.items():
-        path = f"{root}/{name}"
-        df.repartition(3).write.parquet(path)
-        schema = spark.read.parquet(path).schema
-        streams[name] = spark.readStream.schema(schema).option(
-            "maxFilesPerTrigger", "1").parquet(path)
+
+
+def q_fct_order_items_stream(spark, sf_dir):
+    """Fact from four streams (stream-stream inner joins), each fed in several batches."""
+    root = scratch_dir(spark, "fact-stream")
+    streams = {name: _stream_files(df, f"{root}/{name}", 3)
+               for name, df in _fact_inputs(spark, sf_dir).items()}
     fact = gold.fct_order_items(
         streams["items"], streams["orders"], streams["customers"], streams["products"])
     out = f"{root}/fct_order_items"
@@ -275,26 +328,153 @@ def q_fct_order_items_stream(spark, sf_dir):
     return edge(read_snapshot(spark, out))
 
 
+def q_fct_order_items_bounded(spark, sf_dir):
+    """Streaming fact with bounded state: items and orders within MAX_GAP of each other."""
+    root = scratch_dir(spark, "fact-bounded")
+    inputs = _fact_inputs(spark, sf_dir)
+    fact = gold.fct_order_items_bounded(
+        _stream_files(inputs["items"], f"{root}/items", 3),
+        _stream_files(inputs["orders"], f"{root}/orders", 3),
+        sized_broadcast(_stored(inputs["customers"], "dim")),
+        sized_broadcast(_stored(inputs["products"], "dim")),
+        max_gap=MAX_GAP, lateness=LATENESS)
+    out = f"{root}/fct_order_items"
+    run_once(append_stream(fact, out, f"{root}/_chk"))
+    return edge(read_snapshot(spark, out))
+
+
+def q_fct_order_items_unmatched(spark, sf_dir):
+    return gold.unmatched_items(_items(spark, sf_dir), _orders(spark, sf_dir), MAX_GAP)
+
+
+def q_items_by_product_salted(spark, sf_dir):
+    """Items with their product's category, each hot product spread over several tasks."""
+    items = _items(spark, sf_dir).select("order_id", "order_item_id", "product_id")
+    products = _products(spark, sf_dir).select("product_id", "product_category_name")
+    return salted_join(items, products, ["product_id"], how="left", min_rows=20)
+
+
 def q_customers_scd2_incremental(spark, sf_dir):
-    """History kept by the foreachBatch form: the three change batches arrive as
-    separate files, the last batch before the second (out of order)."""
+    """History kept by the foreachBatch form: three deliveries, the last batch before the second
+    (out of order), each drained by its own run. The first also brings rows without a sequence,
+    which are counted and leave the history as it is."""
     root = scratch_dir(spark, "scd2-incremental")
-    log = _customer_log(spark, sf_dir)
+    log = _stored(_customer_log(spark, sf_dir), "customer-log")
     landing = f"{root}/landing"
-    for batch in ("batch-1", "batch-3", "batch-2"):
-        log.filter(F.col("_source_file") == batch).coalesce(1).write.mode("append").parquet(landing)
-    changes_stream = spark.readStream.schema(spark.read.parquet(landing).schema).option(
-        "maxFilesPerTrigger", "1").parquet(landing)
     inc = IncrementalHistory(
         spark, f"{root}/state", keys=CUSTOMER_SCD2["keys"],
         sequence_by=CUSTOMER_SCD2["sequence_by"],
         except_columns=CUSTOMER_SCD2["except_columns"],
         track_history_except=CUSTOMER_SCD2["track_history_except"],
     )
-    inc.run(changes_stream, f"{root}/_chk")
+    for batch in ("batch-1", "batch-3", "batch-2"):
+        rows = log.filter(F.col("_source_file") == batch)
+        if batch == "batch-1":
+            unplaced = rows.filter(F.pmod(F.xxhash64("customer_id"), F.lit(10)) == 0)
+            rows = rows.unionByName(unplaced.withColumn(
+                CUSTOMER_SCD2["sequence_by"], F.lit(None).cast("timestamp")))
+        rows.write.mode("append").parquet(landing)
+        changes_stream = spark.readStream.schema(log.schema).parquet(landing)
+        inc.run(changes_stream, f"{root}/_chk")
     return edge(inc.history())
 
 
+def q_runner_incremental(spark, sf_dir):
+    """All layers over two deliveries of every feed (categories come whole with the first): the
+    fact as stored after the second run."""
+    root = scratch_dir(spark, "runner")
+    landing = f"{root}/landing"
+    deliveries = {name: _stage_feed(spark, sf_dir, name, root) for name in ENTITIES}
+    for second in (False, True):
+        for name, (feed, first) in deliveries.items():
+            part = feed.filter(~first if second else first)
+            if name == "product_category":
+                part = feed.filter(F.lit(not second))
+            write_csv_feed(part, f"{landing}/{ENTITIES[name].source_dir}")
+        store, _ = run_layers(spark, landing, f"{root}/tables")
+    return edge(current_snapshot(spark, store.path("gold", "fct_order_items")))
+
+
+# -- tables, schemas, metadata ---------------------------------------------------------------
+
+def q_table_properties(spark, sf_dir):
+    """Properties and comments as the catalog has them, for tables over stored clean data."""
+    root = scratch_dir(spark, "catalog")
+    store = TableStore(root, database="strata_props")
+    datasets = {
+        ("silver", "silver_orders"): (_orders(spark, sf_dir), ENTITIES["orders"].table_properties("silver")),
+        ("silver", "silver_products"): (_products(spark, sf_dir), ENTITIES["products"].table_properties("silver")),
+        ("gold", "dim_products"): (
+            gold.dim_products(_products(spark, sf_dir)),
+            table_properties("gold", GOLD_DOMAINS["dim_products"], "product_id")),
+        ("gold", "fct_order_items"): (
+            _fact(spark, sf_dir), table_properties("gold", GOLD_DOMAINS["fct_order_items"], "order_id")),
+    }
+    rows = []
+    for (layer, name), (df, props) in datasets.items():
+        edge(df).write.parquet(store.path(layer, name))
+        store.declare(spark, layer, name, props, f"Table {name}")
+        info = store.describe(spark, layer, name)
+        place = info["path"].removeprefix(root).strip("/")
+        n = spark.table(store.table(layer, name)).count()
+        rows += [(name, place, info["comment"], key, info["properties"][key], n) for key in props]
+    return spark.createDataFrame(
+        rows, "table_name string, place string, table_comment string, property string, "
+              "property_value string, n_rows long")
+
+
+def q_clustered_ranges(spark, sf_dir):
+    """A clustered write of the orders: rows, and pairs of neighbouring files whose key ranges
+    overlap by more than a shared bound."""
+    path = f"{scratch_dir(spark, 'clustered')}/orders"
+    orders = _orders(spark, sf_dir).select("order_id", "customer_id", "order_status")
+    write_clustered(orders, path, "order_id", num_files=8)
+    files = read_snapshot(spark, path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.min("order_id").alias("low"), F.max("order_id").alias("high"), F.count("*").alias("n"))
+    in_order = Window.partitionBy(F.lit(0)).orderBy("low", "high")  # one row per file
+    return files.withColumn("before", F.lag("high").over(in_order)).agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("before") > F.col("low")).alias("n_overlaps"))
+
+
+def q_dataset_schemas(spark, sf_dir):
+    """Column types of the clean and star datasets, and the personal-data tag, read from the
+    schemas; ``n_rows`` ties them to the data."""
+    datasets = {
+        "silver_orders": _orders(spark, sf_dir),
+        "silver_customers_preprocessed": silver.silver_customers_preprocessed(_customer_feed(spark, sf_dir)),
+        "dim_customers": gold.dim_customers(_history(spark, sf_dir)),
+    }
+    out = None
+    for name, df in datasets.items():
+        own = [(f.name, f.dataType.simpleString(), bool(f.metadata.get("pii"))) for f in edge(df).schema.fields]
+        columns = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.lit(p).alias("pii"))
+                            for c, t, p in own])
+        rows = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("dataset"), "n_rows", F.inline(columns))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_location_strict(spark, sf_dir):
+    """The documented location: NULL as soon as city or state is NULL."""
+    out = silver.silver_customers_preprocessed(_customer_feed(spark, sf_dir), location="strict")
+    return out.select("customer_id", "customer_location")
+
+
+def q_processing_stamps(spark, sf_dir):
+    """Rows whose processing time is set, per dataset."""
+    datasets = {
+        "silver_orders": (_orders(spark, sf_dir), "_processing_timestamp"),
+        "silver_products": (_products(spark, sf_dir), "_processing_timestamp"),
+        "dim_products": (gold.dim_products(_products(spark, sf_dir)), "_dimension_refresh_timestamp"),
+    }
+    out = None
+    for name, (df, column) in datasets.items():
+        rows = df.agg(F.count(column).alias("n_stamped")).select(F.lit(name).alias("dataset"), "n_stamped")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for entity in ENTITIES:
@@ -320,5 +500,16 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pk_check": q_pk_check,
         "fk_check": q_fk_check,
         "late_by_day": q_late_by_day,
+        "bronze_lineage": q_bronze_lineage,
+        "dq_metrics_stream": q_dq_metrics_stream,
+        "fct_order_items_bounded": q_fct_order_items_bounded,
+        "fct_order_items_unmatched": q_fct_order_items_unmatched,
+        "items_by_product_salted": q_items_by_product_salted,
+        "runner_incremental": q_runner_incremental,
+        "table_properties": q_table_properties,
+        "clustered_ranges": q_clustered_ranges,
+        "dataset_schemas": q_dataset_schemas,
+        "location_strict": q_location_strict,
+        "processing_stamps": q_processing_stamps,
     })
     return out

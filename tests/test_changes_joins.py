@@ -3,7 +3,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from strata.operators.changes import CHANGE_TYPE, snapshot_changes
+from strata.operators.changes import CHANGE_TYPE, COPIES, snapshot_changes
 from strata.operators.joins import broadcast_fits, salted_join, sized_broadcast
 from strata.plans import gold
 
@@ -11,16 +11,16 @@ from strata.plans import gold
 def test_snapshot_changes_bag_semantics(spark):
     schema = "k string, v string"
     before = spark.createDataFrame(
-        [("same", "a"), ("upd", "old"), ("gone", "x"), ("dup", "d"), ("dup", "d"), (None, "n")],
+        [("same", "a"), ("upd", "old"), ("gone", "x"), ("dup", "d"), ("dup", "d"), ("dup", "d"), (None, "n")],
         schema)
     after = spark.createDataFrame(
         [("same", "a"), ("upd", "new"), ("born", "y"), ("dup", "d"), (None, "m")], schema)
-    out = sorted(((r[CHANGE_TYPE], r.k, r.v) for r in
+    out = sorted(((r[CHANGE_TYPE], r.k, r.v, r[COPIES]) for r in
                   snapshot_changes(before, after, ["k"]).collect()), key=str)
     assert out == sorted([
-        ("update_preimage", "upd", "old"), ("update_postimage", "upd", "new"),
-        ("delete", "gone", "x"), ("insert", "born", "y"), ("delete", "dup", "d"),
-        ("update_preimage", None, "n"), ("update_postimage", None, "m"),
+        ("update_preimage", "upd", "old", 1), ("update_postimage", "upd", "new", 1),
+        ("delete", "gone", "x", 1), ("insert", "born", "y", 1), ("delete", "dup", "d", 2),
+        ("update_preimage", None, "n", 1), ("update_postimage", None, "m", 1),
     ], key=str)
 
 
@@ -38,13 +38,14 @@ def test_sized_broadcast_checks_rows(spark):
 
 def test_salted_join_equals_plain_join(spark):
     big = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 5 == 0, None)
+        .otherwise(F.col("id") % 50).alias("k"),
         F.col("id").alias("v"))
-    other = spark.createDataFrame([(7, "hot"), (7, "hot2"), (1, "one"), (2, "two")], "k long, w string")
+    other = spark.createDataFrame([(7, "hot"), (7, "hot2"), (1, "one"), (2, "two"), (None, "null")], "k long, w string")
     for how in ("inner", "left"):
-        plain = sorted(tuple(r) for r in big.join(other, "k", how).collect())
-        salted = sorted(tuple(r) for r in salted_join(big, other, ["k"], how=how, salts=8,
-                                                      min_rows=100).collect())
+        plain = sorted((tuple(r) for r in big.join(other, "k", how).collect()), key=str)
+        salted = sorted((tuple(r) for r in salted_join(
+            big, other, ["k"], how=how, min_rows=100).collect()), key=str)
         assert plain == salted
 
 
@@ -80,3 +81,12 @@ def test_star_join_bag_semantics(spark):
     # two o1 items x two c1 dimension rows; o2/o3/o4 drop out (missing order/product/customer)
     assert len(rows) == 4
     assert {r.order_id for r in rows} == {"o1"}
+
+
+def test_sized_broadcast_measures_bytes(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 100_000).alias("text"), "id")
+    assert not broadcast_fits(wide, max_bytes=5_000_000)
+    assert broadcast_fits(wide, max_bytes=20_000_000)
+    nested = wide.select(F.array("text").alias("a"))
+    assert not broadcast_fits(nested, max_bytes=5_000_000)
+    assert broadcast_fits(wide.filter("id < 0"), max_bytes=1)

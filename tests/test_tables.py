@@ -1,11 +1,15 @@
 import glob
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from strata.config import ENTITIES
 from strata.operators.quality import schema_mismatches
-from strata.sources.tables import TableStore, read_snapshot, write_clustered
+from strata.sources.tables import (
+    TableStore, current_snapshot, list_names, read_snapshot, read_text, replace_clustered,
+    write_clustered, write_text,
+)
 
 
 def _ranges(path):
@@ -35,12 +39,55 @@ def test_clustered_write_ranges_and_hot_key_split(spark, scratch):
 
 
 def test_table_store_catalog(spark, scratch):
-    store = TableStore(scratch("store"))
+    root = scratch("store")
+    store = TableStore(root, database="t_store")
     ent = ENTITIES["customers"]
-    store.declare("bronze", "bronze_customers", ent.table_properties("bronze"), "raw", ent.raw_schema())
-    info = store.describe("bronze", "bronze_customers")
+    store.declare(spark, "bronze", "bronze_customers", ent.table_properties("bronze"), "it's raw", ent.raw_schema())
+    info = store.describe(spark, "bronze", "bronze_customers")
     assert info["properties"]["domain"] == "customers"
     assert info["properties"]["clustering.columns"] == "customer_id"
+    assert info["comment"] == "it's raw"
+    assert info["columns"] == list(ent.raw_columns)
     pii = [f.name for f in ent.raw_schema().fields if f.metadata.get("pii")]
     assert pii == ["customer_zip_code_prefix"]
     assert schema_mismatches(ent.raw_schema(), ent.raw_schema()) == []
+
+
+def test_versions_are_switched_whole(spark, scratch):
+    path = scratch("versions") + "/t"
+    replace_clustered(spark.range(10).withColumnRenamed("id", "k"), path, "k")
+    first = current_snapshot(spark, path)
+    replace_clustered(spark.range(25).withColumnRenamed("id", "k"), path, "k")
+    assert first.count() == 10  # the old version can still be read
+    assert current_snapshot(spark, path).count() == 25
+    with pytest.raises(Exception):
+        replace_clustered(spark.range(5).select(F.raise_error(F.lit("stop")).alias("k")), path, "k")
+    assert current_snapshot(spark, path).count() == 25  # a failed job changes nothing
+
+
+def test_small_files(spark, scratch):
+    root = scratch("small")
+    assert read_text(spark, f"{root}/none") is None and list_names(spark, f"{root}/none") == []
+    write_text(spark, f"{root}/a", "é 1")
+    write_text(spark, f"{root}/a", "é 2")
+    assert read_text(spark, f"{root}/a") == "é 2" and list_names(spark, root) == ["a"]
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters(monkeypatch):
+    from strata import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.scratch_root(Session())
