@@ -108,9 +108,22 @@ class Machines:
         return best, share[np.arange(len(x)), best]
 
 
+def pack(x: np.ndarray) -> bytes:
+    """A vector's places and values; at most 6 bytes for each of its dimensions."""
+    at = np.flatnonzero(x)
+    return at.astype("<u2").tobytes() + x[at].astype("<f4").tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    n = len(raw) // 6
+    x = np.zeros(SPACE, np.float32)
+    x[np.frombuffer(raw, "<u2", n)] = np.frombuffer(raw, "<f4", n, 2 * n)
+    return x
+
+
 class LanguageModel:
-    def __init__(self, texts: list[str], langs: list[str]) -> None:
-        x, own = np.array([vector(t) for t in texts], np.float32).reshape(-1, SPACE), np.array(langs, object)
+    def __init__(self, vectors: list[np.ndarray], langs: list[str]) -> None:
+        x, own = np.array(vectors, np.float32).reshape(-1, SPACE), np.array(langs, object)
         family = np.array([FAMILY_OF.get(n, f"={n}") for n in langs], object)
         self.families = Machines(x, family)
         self.within = [Machines(x[family == f], own[family == f]) for f in self.families.names]
@@ -134,7 +147,7 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, learns: F.Column, per_lang: int = PER_LANG) -> LanguageModel:
-    """A model from up to ``per_lang`` rows of each language, MAX_ROWS in all."""
+    """A model from up to ``per_lang`` rows of each language, MAX_ROWS in all (10,000 languages)."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learns)
     order = F.xxhash64(F.lit("sample"), "doc_id")
     # Candidates by a threshold on the hash, so that no language is ranked whole in one task.
@@ -142,11 +155,19 @@ def fit(docs: DataFrame, learns: F.Column, per_lang: int = PER_LANG) -> Language
     share = F.least(F.lit(1.0), F.lit(3.0 * per_lang) / F.col("n"))
     some = rows.join(F.broadcast(counts.select("lang", share.alias("share")).orderBy("lang").limit(10_000)), "lang").filter(
         F.pmod(order, F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")))
-    # enough of a text to learn from; predictions read whole texts
-    picked = ranked.filter(F.col("rank") <= per_lang).orderBy("rank", "lang").limit(MAX_ROWS).select(
-        "text", F.col("lang").cast("string").alias("lang")).collect()
-    return LanguageModel([r["text"] for r in picked], [r["lang"] for r in picked])
+
+    def run(part: dict[str, list]) -> dict[str, list]:
+        return {"place": part["place"], "doc_id": part["doc_id"], "lang": part["lang"],
+                "x": [pack(vector(t)) for t in part["text"]]}
+
+    plain = some.select(order.alias("place"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    vectors = map_rows(plain, run, "place long, doc_id long, lang string, x binary")
+    by_lang = Window.partitionBy("lang").orderBy("place", "doc_id", "x")
+    ranked = vectors.withColumn("rank", F.row_number().over(by_lang)).filter(F.col("rank") <= per_lang)
+    found = ranked.orderBy("rank", "lang").limit(MAX_ROWS).select("rank", "lang", "x").collect()
+    found.sort(key=lambda r: (r["rank"], r["lang"]))
+    return LanguageModel([unpack(r["x"]) for r in found], [r["lang"] for r in found])
 
 
 def detect(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
