@@ -84,19 +84,20 @@ def _training_rows(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """Features of the sampled documents, and the features that a swap removes and adds."""
     def run(rows: dict[str, list]) -> dict[str, list]:
         own, gone, new = [], [], []
+        packed = lambda fs: np.array(fs, "<i4").tobytes()
         for doc, text in zip(rows["doc_id"], rows["text"]):
-            own.append(sorted({f for w in words(text) for f in features(w)}))
+            own.append(packed(sorted({f for w in words(text) for f in features(w)})))
             sentences = [s for s in _SENTENCE.split((text or "").lower()) if s.strip()]
             named = [s for s in sentences if any(t in _KIND for t in words(s))]
             pool = named or sentences or [""]
             old, fresh = swap(pool[doc % len(pool)], doc)
-            gone.append([f for w in old for f in features(w)])
-            new.append([f for w in fresh for f in features(w)])
+            gone.append(packed([f for w in old for f in features(w)]))
+            new.append(packed([f for w in fresh for f in features(w)]))
         return {"doc_id": rows["doc_id"], "label": rows["label"], "own": own, "gone": gone, "new": new}
 
     joined = docs.join(F.broadcast(marked), "doc_id").dropDuplicates(["doc_id"])
     return map_rows(joined.select("doc_id", "label", "text"), run,
-                    "doc_id long, label int, own array<int>, gone array<int>, new array<int>")
+                    "doc_id long, label int, own binary, gone binary, new binary")
 
 
 def _sparse(lists: list, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,9 +185,9 @@ def toxicity_scores(
     marked, counts = _sample(docs, labels, crc_fold("doc_id", 5) != 0, per_class)
     known = sorted(_training_rows(docs, marked).collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    base, weights = train([r["own"] for r in known], np.array([r["label"] for r in known], float),
-                          [r["gone"] for r in known], [r["new"] for r in known], prior,
-                          counterfactual=counterfactual)
+    unpacked = {c: [np.frombuffer(r[c], "<i4") for r in known] for c in ("own", "gone", "new")}
+    base, weights = train(unpacked["own"], np.array([r["label"] for r in known], float),
+                          unpacked["gone"], unpacked["new"], prior, counterfactual=counterfactual)
     shared = Shared(docs.sparkSession, Scorer(base, weights))
 
     def run(rows: dict[str, list]) -> dict[str, list]:
