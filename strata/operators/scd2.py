@@ -26,10 +26,13 @@ Plan, built so that no key, however hot, is ever held by a single task:
 5. A keyed aggregate per (key, version) yields the history. It combines on the map
    side too, so a long version spread over many partitions stays cheap.
 
-The ranged rows and the flagged rows each feed two consumers (a per-partition summary
-and the next step). They are checkpointed to the shared ``spark.checkpoint.dir``
-instead of being recomputed per consumer, which also cuts the lineage: a lost executor
-costs a re-read, not a recomputation. No session setting is changed on the way.
+The ranged rows feed a per-partition summary and the windows. They are written once to the
+shared folder named in ``spark.checkpoint.dir`` (which fixes the partition ids and cuts the
+lineage: a lost executor costs a re-read) without the key and tracked columns a second time.
+The window over (key, partition) is needed by the summary of the changes and by the version
+spans; each shuffles only the columns it needs (the summary: keys and tracked columns). The
+exchanges of data are the dedupe, the range, these two and the version aggregate. No session
+setting is changed on the way.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.session import scratch_root
+from strata.session import scratch_dir
 
 START, END = "__START_AT", "__END_AT"
 
@@ -51,11 +54,12 @@ def _struct_or_const(df_col: str, names: Sequence[str]) -> Column:
 
 
 def _materialize(df: DataFrame, checkpoint: bool) -> DataFrame:
-    """Checkpoint ``df`` to the shared checkpoint folder."""
+    """Write ``df`` once as Parquet into the shared scratch folder and read it back."""
     if not checkpoint:
         return df
-    scratch_root(df.sparkSession)  # the shared folder; set locally only when unset
-    return df.checkpoint(eager=True)
+    path = f"{scratch_dir(df.sparkSession, 'scd2')}/ranged"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scd2_history(
@@ -74,8 +78,8 @@ def scd2_history(
     them). ``tie_breaker`` orders rows that share a (key, sequence); by default all
     target columns other than the keys, in order. Rows with a NULL sequence cannot be
     placed in time and are not part of the history; ``unplaced`` counts them. ``num_partitions`` (P) defaults to
-    ``spark.sql.shuffle.partitions``. ``checkpoint=False`` keeps the plan lazy (the
-    intermediates are then recomputed by each consumer).
+    ``spark.sql.shuffle.partitions``. ``checkpoint=False`` keeps the plan lazy (the ranged
+    rows are then recomputed by each consumer).
     """
     keys = list(keys)
     target = [c for c in log.columns if c not in set(except_columns)]
@@ -101,11 +105,9 @@ def scd2_history(
     # 2. contiguous, balanced ranges of (key, sequence)
     ranged = _materialize(
         dedup.repartitionByRange(num_partitions, *keys, "__seq")
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__k", F.struct(*keys))
-        .withColumn("__t", _struct_or_const("__row", tracked)),
+        .withColumn("__pid", F.spark_partition_id()),
         checkpoint,
-    )
+    ).withColumns({"__k": F.struct(*keys), "__t": _struct_or_const("__row", tracked)})
 
     # 4a. per partition: its first key and its last row -> predecessor carry
     bounds = ranged.groupBy("__pid").agg(
@@ -122,7 +124,7 @@ def scd2_history(
 
     # 3a. predecessor inside the group, else the carry; change flag
     group = Window.partitionBy(*keys, "__pid").orderBy("__seq")
-    flagged = _materialize(
+    flagged = (
         ranged.withColumn("__prev", F.lag("__t").over(group))
         .join(F.broadcast(carry_prev), on="__pid", how="left")
         .withColumn(
@@ -136,8 +138,7 @@ def scd2_history(
             "__cs",
             F.when(~F.col("__prev").eqNullSafe(F.col("__t")), F.col("__seq")),
         )
-        .drop("__carry_t", "__carry_k", "__prev"),
-        checkpoint,
+        .drop("__carry_t", "__carry_k", "__prev")
     )
 
     # 4b. per partition: first change of its first key, last change of its last key
