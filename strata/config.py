@@ -40,14 +40,6 @@ RAW_COLUMNS = {
     "product_category": ["product_category_name", "product_category_name_english"],
 }
 
-SOURCE_DIRS = {
-    "orders": "olist_orders_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "customers": "olist_customers_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "product_category": "product_category_name_translation.csv",
-}
-
 KEYS = {
     "orders": ["order_id"],
     "order_items": ["order_id", "order_item_id"],
@@ -120,6 +112,9 @@ class Rule:
 
 @dataclass(frozen=True)
 class Entity:
+    """``source_dir`` is the folder of the feed's files below the landing root (folders are
+    named like files); callers with other names pass theirs to the runner."""
+
     name: str
     raw_columns: tuple[str, ...]
     keys: tuple[str, ...]
@@ -158,7 +153,7 @@ def entity(name: str) -> Entity:
         name=name,
         raw_columns=tuple(RAW_COLUMNS[name]),
         keys=tuple(KEYS[name]),
-        source_dir=SOURCE_DIRS[name],
+        source_dir=f"{name}.csv",
         rules=tuple(Rule(n, p) for n, p in SILVER_RULES[name]),
         pii_columns=tuple(PII_COLUMNS.get(name, ())),
     )

@@ -437,7 +437,7 @@ SELECT CASE WHEN net > 0 THEN CASE WHEN had_old THEN 'update_postimage' ELSE 'in
 FROM net JOIN flags ON customer_id IS NOT DISTINCT FROM fk"""
 
     q["bronze_lineage"] = _with(CUST_BASE, CUSTOMERS_FEED) + (
-        "SELECT 'olist_customers_dataset.csv' AS source_folder, count(*) AS n_rows, "
+        "SELECT 'customers.csv' AS source_folder, count(*) AS n_rows, "
         "CAST(0 AS BIGINT) AS n_corrupt FROM customers_feed")
     q["dq_metrics_stream"] = _with(*PRODUCT_CTES) + _rule_rows(
         "silver_products", "silver_products_all", SILVER_RULES["products"] + OPTIONAL_RULES["products"])
