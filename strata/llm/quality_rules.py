@@ -63,8 +63,10 @@ class IsolationForest:
                 f = int(rng.choice(varied))
                 cut = float(rng.uniform(low[f], high[f]))
                 left = own[:, f] <= cut
-                nodes[at][:4] = [f, cut, grow(own[left], depth + 1) if left.any() else at, 0]
-                nodes[at][3] = grow(own[~left], depth + 1) if (~left).any() else at
+                if left.any() and not left.all():  # rounding may put the cut on the upper end
+                    nodes[at][:2] = [f, cut]
+                    nodes[at][2] = grow(own[left], depth + 1)
+                    nodes[at][3] = grow(own[~left], depth + 1)
             return at
 
         grow(rows, 0)

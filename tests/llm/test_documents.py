@@ -207,6 +207,18 @@ def test_chunks_join_to_the_same_ids():
         plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_chunks_outlive_the_generations_of_the_cache(monkeypatch):
+    monkeypatch.setattr(token_store, "KNOWN_CHUNKS", 5)
+    path, _ = _tokens([])
+    own = token_store.ChunkTokenizer(path)
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        texts = [" ".join(rng.choice(["a", "bb", "ccc", "dd ", "x" * 90, "é", "f.g", "1,2"], 6)) for _ in range(2)]
+        assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == [
+            own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(own.known) <= 5 + 16 and len(own.older) <= 5 + 16
+
+
 @pytest.mark.parametrize("run", [
     substring.remove_repeats, simhash.simhash_near_dups, lambda d: decontaminate_docs(d, d.selectExpr("doc_id as item_id", "text"))])
 def test_empty_tables(spark, run):

@@ -97,7 +97,9 @@ def test_partial_pass_is_a_prefix_of_blocks(spark):
 
 
 def test_apply_mix_keeps_columns_and_copies(spark):
-    df = _sources(spark, {"a": 200, "b": 20}).selectExpr("*", "1 as _n2", "2 as epoch", "3 as whole2")
+    df = _sources(spark, {"a": 200, "b": 20}).selectExpr(
+        "*", "1 as _n", "2 as epoch", "3 as whole", "4 as tokens", "5 as weight", "6 as n_blocks", "7 as rest",
+        "8 as _s", "9 as _h", "'a.b' as `dot.name`")
     got = mixing.apply_mix(df, entropy=None, max_epochs=3.0, block_rows=8)
     assert got.columns == df.columns
     own = mixing.mix(df, entropy=None, max_epochs=3.0, block_rows=8)
@@ -128,8 +130,9 @@ def test_language_odd_inputs(spark):
     assert {(50, "und", 0.0), (51, "und", 0.0), (52, "und", 0.0), (None, "en", 1.0)} <= got
     assert language.detect(docs(spark, [])).collect() == []
     assert {r.lang_pred for r in language.detect(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
-    kept = language.keep_known(df, 0.5)
-    assert kept.columns == df.columns and kept.count() == 32
+    wide = df.selectExpr("*", "1 as share", "2 as n", "3 as place", "4 as x", "5 as lang_pred")
+    kept = language.keep_known(wide, 0.5)
+    assert kept.columns == wide.columns and kept.count() == 32
 
 
 def test_languages_outside_the_table_are_families(spark):
@@ -306,3 +309,11 @@ def test_license_templates_from_a_table(spark, monkeypatch):
     got = {(r.doc_id, r.license): r.containment for r in licenses.scan_licenses(docs(spark, rows), table).collect()}
     assert got == _licensed(rows, made)
     assert licenses.scan_licenses(docs(spark, []), table).collect() == []
+
+
+def test_isolation_forest_ends_on_values_next_to_each_other():
+    one = np.nextafter(1.0, 2.0)
+    rows = np.array([[1.0, 0.0], [one, 0.0]] * 50 + [[1.0, 5e-324], [1.0, 0.0]] * 20)
+    forest = quality_rules.IsolationForest(rows, 200, 32, 1)
+    far = forest.score(np.array([[9.0, 9.0], [1.0, 0.0]]))
+    assert np.isfinite(far).all()

@@ -73,3 +73,11 @@ def test_language_model_reads_no_metadata(spark):
     moved = df.selectExpr("doc_id + 1 as doc_id", "text", "'zz' as lang", "'q' as source")
     a = sorted((r.lang_pred, r.score) for r in language.predict(df, model).collect())
     assert a == sorted((r.lang_pred, r.score) for r in language.predict(moved, model).collect())
+
+
+def test_stages_keep_columns_with_clashing_names(spark, tmp_path):
+    spark.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = docs(spark, corpus(5, 24)).selectExpr("*", "1 as _key", "2 as component_id", "3 as contaminated", "4 as _row")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, df, str(tmp_path))
+        assert out.columns == df.columns and out.count() > 0
