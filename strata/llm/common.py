@@ -6,6 +6,7 @@ one batch or one document at a time, so memory is bounded by a batch, not by the
 
 from __future__ import annotations
 
+import ctypes
 import math
 import pickle
 import re
@@ -47,6 +48,27 @@ def parts_for(n_bytes: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(n_bytes / each))
 
 
+#: Bytes of one Arrow batch. Documents are wide; batches of Spark's 10,000 rows hold tens of
+#: megabytes, several copies of which are kept on both sides.
+ARROW_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Limit the session's Arrow batches to ARROW_BYTES unless it was started with another limit."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
+def give_back() -> None:
+    """Return freed memory of this worker to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def arrow_schema(schema: str | T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -67,11 +89,13 @@ def map_rows(
     target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text, slice_bytes):
-                out = per_slice(dict(zip(part.schema.names, (c.to_pylist() for c in part.columns))))
-                yield to_batch(out, target)
+        for parts in gathered(batches, text, slice_bytes):
+            table = pa.Table.from_batches(parts)
+            out = per_slice({name: table.column(name).to_pylist() for name in table.column_names})
+            yield to_batch(out, target)
+        give_back()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -98,22 +122,41 @@ class Shared:
         return self._own
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Whole rows, about ``limit`` bytes of text at a time (one row at least)."""
-    if batch.num_rows == 0:
-        return
+def _sizes(batch: pa.RecordBatch, text: str) -> np.ndarray:
     import pyarrow.compute as pc
 
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes.astype(np.int64))
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+    return sizes.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Whole rows, about ``limit`` bytes of text at a time (one row at least), and their bytes."""
+    if batch.num_rows == 0:
+        return
+    ends = np.cumsum(_sizes(batch, text))
     start = 0
     while start < batch.num_rows:
-        before = ends[start - 1] if start else 0
+        before = int(ends[start - 1]) if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
-        yield batch.slice(start, stop - start)
+        yield batch.slice(start, stop - start), int(ends[stop - 1]) - before
         start = stop
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of one or several batches that make up about ``limit`` bytes of text."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part, n in slices(batch, text, limit):
+            if held and size + n > limit:
+                yield held
+                held, size = [], 0
+            held.append(part)
+            size += n
+    if held:
+        yield held
+
+
 def blank_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8. ``bytes.split()`` splits at exactly
     these six characters; none of them occurs inside a multi-byte character."""

@@ -148,7 +148,8 @@ class LanguageModel:
 
 def fit(docs: DataFrame, learns: F.Column, per_lang: int = PER_LANG) -> LanguageModel:
     """A model from up to ``per_lang`` rows of each language, MAX_ROWS in all (10,000 languages)."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learns)
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learns).select(
+        "doc_id", "lang", "text")
     order = F.xxhash64(F.lit("sample"), "doc_id")
     # Candidates by a threshold on the hash, so that no language is ranked whole in one task.
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))

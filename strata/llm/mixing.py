@@ -188,5 +188,6 @@ def apply_mix(
     again and never shuffled."""
     keyed = stage(_keyed(docs), "keyed")
     sources = plan(keyed, entropy, max_epochs, budget, block_rows, seed)
-    own = docs.withColumns({"_s": _source_key(), "_h": _row_hash()})
-    return _passes(own, sources, seed).select(*docs.columns)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                      _source_key().alias("_s"), _row_hash().alias("_h"))
+    return _passes(own, sources, seed).select("_row.*")

@@ -20,16 +20,21 @@ def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), stand_in)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The whole row as one column, so that no name of it can clash, and the key."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _key().alias("_key"))
+
+
 def drop_near_dups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id, one row of it."""
     keyed = docs.select(_key().alias("doc_id"), "text")
     groups = simhash_near_dups(keyed, shingle, radius)
     first = groups.select(F.col("component_id").alias("_key")).distinct()
-    return docs.withColumn("_key", _key()).join(first, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    return _keyed(docs).join(first, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that the benchmark does not contaminate; clean ones stay as they are."""
     verdicts = decontaminate(docs.select(_key().alias("doc_id"), "text"), items)
     gone = verdicts.filter("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", _key()).join(sized_broadcast(gone), "_key", "left_anti").select(*docs.columns)
+    return _keyed(docs).join(sized_broadcast(gone), "_key", "left_anti").select("_row.*")

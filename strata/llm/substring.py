@@ -35,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    Vocabulary, arrow_schema, blank_words, map_rows, parts_for, text_bytes, window_hashes,
+    Vocabulary, arrow_schema, blank_words, give_back, map_rows, parts_for, text_bytes, window_hashes,
 )
 
 #: Text bytes per shard of hashes and per block of documents.
 SHARD_BYTES, BLOCK_BYTES = 8 << 20, 8 << 20
+#: Text bytes whose hashes are sorted and packed together; larger packs better.
+SLICE_BYTES = 12 << 20
 #: Anchors of one automaton.
 AUTOMATON_ANCHORS = 100_000
 
@@ -131,6 +133,7 @@ def _confirm(n_blocks: int):
             out["block"].append(int(block[part[0]]))
             out["n"].append(len(part))
             out["blob"].append(pack([hashes[part], owner[part].view(np.uint64)]))
+        give_back()
         return pa.table([pa.array(out[f.name], f.type) for f in target], schema=target)
 
     return run
@@ -274,6 +277,7 @@ def _remove(size: int):
             out["n_words"].append(len(own))
             out["n_removed"].append(len(own) - len(kept))
             out["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
+        give_back()
         return pa.table([pa.array(out[f.name], f.type) for f in target], schema=target)
 
     return run
@@ -287,7 +291,7 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     n_shards = parts_for(n_bytes, SHARD_BYTES, least)
     n_blocks = _prime_from(parts_for(n_bytes, BLOCK_BYTES, 2))
     packed = map_rows(docs, _hash_rows(size, n_shards, n_blocks), "shard long, n long, blob binary",
-                      slice_bytes=SHARD_BYTES)
+                      slice_bytes=SLICE_BYTES)
     confirmed = packed.groupBy("shard").applyInArrow(_confirm(n_blocks), "block long, n long, blob binary")
     dealt = docs.withColumn("block", F.coalesce(
         F.expr(f"pmod(doc_id, {n_blocks})"), F.expr(f"pmod(xxhash64(text), {n_blocks})")))

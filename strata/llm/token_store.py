@@ -18,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import sys
@@ -31,15 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Shared, arrow_schema, parts_for, slices, text_bytes, to_batch
+from .common import Shared, arrow_schema, give_back, parts_for, slices, small_batches, text_bytes, to_batch
 
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 BLOCK_TOKENS = 1 << 18
 SCALE, LOW = np.uint64(20), np.uint64(1 << 31)
-MAX_LANES, STEP = 256, 256
+MAX_LANES, STEP = 1024, 128
 WORD = np.uint64(32)
-#: Chunks that a worker remembers, and the longest remembered.
-KNOWN_CHUNKS, LONG_CHUNK = 500_000, 64
+#: Chunks in each of the two generations that a worker remembers, and the longest remembered.
+KNOWN_CHUNKS, LONG_CHUNK = 350_000, 64
 
 
 # -- tokenising ---------------------------------------------------------------------------
@@ -64,35 +65,49 @@ class ChunkTokenizer:
     from the tokenizer; a chunk's ids are kept as little-endian bytes."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.leads[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # byte-level blank
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
     def _learn(self, new: list[str]) -> None:
-        """Ids of chunks that follow a blank, many in one call, told apart by their offsets."""
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            coded = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(c) + 1 for c in some])
-            starts = np.fromiter((s for s, _ in coded.offsets), np.int64, len(coded.offsets))
+        """Ids of chunks that follow a blank, many in one call. The first id of such a chunk is one
+        that stands for a blank and what follows, and no other id of a chunk without blanks is."""
+        some = [c for c in new if " " not in c]
+        for at in range(0, len(some), 512):
+            part = some[at:at + 512]
+            coded = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0]
             ids = np.array(coded.ids, self.dtype)
-            cuts = np.searchsorted(starts, ends[:-1], side="left").tolist()
-            self.known |= zip(some, (p.tobytes() for p in np.split(ids, cuts)))
+            cuts = np.flatnonzero(self.leads[ids])
+            if len(cuts) != len(part):
+                raise ValueError("this tokenizer does not start a piece at every blank")
+            raw, width = ids.tobytes(), ids.itemsize
+            ends = (np.append(cuts, len(ids)) * width).tolist()
+            self.known.update(zip(part, (raw[s:e] for s, e in zip(ends, ends[1:]))))
+        for c in new:
+            if " " in c:
+                self.known[c] = self._bytes(self.tokenizer.encode(" " + c, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known = {}
+        if len(self.known) > KNOWN_CHUNKS:  # what is in use comes back from the older generation
+            self.known, self.older = {}, self.known
         split = [chunks(t) for t in texts]
-        heads = self.tokenizer.encode_batch([c[0] for c in split], add_special_tokens=False)
+        heads = self.tokenizer.encode_batch_fast([c[0] for c in split], add_special_tokens=False)
         tails = [c[1:] for c in split]
         new = set().union(*tails) - self.known.keys()
-        self._learn(list(new))
+        back = new & self.older.keys()
+        self.known.update((c, self.older[c]) for c in back)
+        self._learn(list(new - back))
         known = self.known.__getitem__
         out = [self._bytes(h.ids) + b"".join(map(known, t)) for h, t in zip(heads, tails)]
         for c in new:
@@ -109,7 +124,8 @@ def _tokenizer(path: str) -> ChunkTokenizer:
     return held.__dict__[path]
 
 
-_BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary"
+#: A part's last row has block -1 and, in ``counts``, its ids and how often each occurs.
+_BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary, counts binary"
 
 
 def token_blocks(docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -126,13 +142,18 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, block_tokens: int = BL
         width = len(end)
         part, block = TaskContext.get().partitionId(), 0
         ids, lengths, held, size = [], [], [], 0
+        counts = np.zeros(len(tokenizer.leads), np.int64)
 
         def row() -> pa.RecordBatch:
+            nonlocal counts
+            joined = b"".join(held)
+            own = np.bincount(np.frombuffer(joined, tokenizer.dtype), minlength=len(counts))
+            counts = own + np.pad(counts, (0, len(own) - len(counts)))
             return to_batch({"part": [part], "block": [block], "doc_ids": [ids], "lengths": [lengths],
-                             "ids": [b"".join(held)]}, target)
+                             "ids": [joined], "counts": [None]}, target)
 
         for batch in batches:
-            for some in slices(batch, "text", 4 << 20):
+            for some, _ in slices(batch, "text", 2 << 20):
                 coded = tokenizer.encode(some.column("text").to_pylist())
                 for doc, own in zip(some.column("doc_id").to_pylist(), coded):
                     n = len(own) // width + 1
@@ -145,7 +166,13 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, block_tokens: int = BL
                     size += n
         if ids:
             yield row()
+            used = np.flatnonzero(counts)
+            packed = np.concatenate([used, counts[used]]).astype("<i8").tobytes()
+            yield to_batch({"part": [part], "block": [-1], "doc_ids": [[]], "lengths": [[]], "ids": [b""],
+                            "counts": [packed]}, target)
+        give_back()
 
+    small_batches(docs.sparkSession)
     return dealt.mapInArrow(run, _BLOCKS)
 
 
@@ -262,21 +289,18 @@ def decode_block(payload: bytes, table: Frequencies) -> np.ndarray:
 # -- the store -----------------------------------------------------------------------------------
 
 
-def _counts(blocks: DataFrame, dtype: str) -> DataFrame:
+def _counts(blocks: DataFrame) -> DataFrame:
+    """(id, n) over all parts; reads nothing but their rows of counts."""
     target = arrow_schema("id int, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                own = np.bincount(np.frombuffer(ids.as_buffer(), dtype))
-                if len(own) > len(total):
-                    total = np.pad(total, (0, len(own) - len(total)))
-                total[: len(own)] += own
-        used = np.flatnonzero(total)
-        yield to_batch({"id": used.astype(np.int32), "n": total[used]}, target)
+            for packed in batch.column("counts").to_pylist():
+                used, n = np.frombuffer(packed, "<i8").reshape(2, -1)
+                yield to_batch({"id": used.astype(np.int32), "n": n}, target)
 
-    return blocks.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return blocks.filter("block = -1").select("counts").mapInArrow(run, "id int, n long").groupBy("id").agg(
+        F.sum("n").alias("n"))
 
 
 _STORED = "part int, block int, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
@@ -292,7 +316,7 @@ def write_tokens(
     token_blocks(docs, tokenizer, end_id, block_tokens).write.parquet(scratch)
     blocks = spark.read.schema(_BLOCKS).parquet(scratch)
     dtype = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
-    counted = _counts(blocks, dtype).orderBy("id").collect()  # the vocabulary at most
+    counted = _counts(blocks).orderBy("id").collect()  # the vocabulary at most
     ids = [r["id"] for r in counted]
     slots = Frequencies.share(ids, [r["n"] for r in counted])
     spark.createDataFrame(list(zip(ids, slots)), "id int, slots int").coalesce(1).write.parquet(f"{path}/frequencies")
@@ -309,8 +333,9 @@ def write_tokens(
                     "part": row.column("part"), "block": row.column("block"), "n_tokens": [len(own)],
                     "doc_ids": row.column("doc_ids"), "lengths": row.column("lengths"),
                     "payload": [encode_block(own, table)]}, target)
+        give_back()
 
-    blocks.mapInArrow(run, _STORED).write.parquet(f"{path}/blocks")
+    blocks.filter("block >= 0").drop("counts").mapInArrow(run, _STORED).write.parquet(f"{path}/blocks")
 
 
 def _starts(blocks: DataFrame) -> DataFrame:
@@ -354,6 +379,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 if with_ids:
                     out["ids"] = [ids[s:e].astype(np.int32) for s, e in spans]
                 yield to_batch(out, target)
+        give_back()
 
     docs = blocks.select("part", "block", "doc_ids", "lengths", "payload").mapInArrow(run, schema)
     more = ["ids"] if with_ids else []
