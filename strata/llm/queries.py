@@ -82,5 +82,52 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
 
 
+_OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (
+  SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS k FROM d WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) AS m FROM x GROUP BY g),
+c AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(k, k + 12)) AS p
+  FROM x JOIN f USING (g) WHERE m < doc_id),
+words AS (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) AS p FROM d),
+kept AS (
+  SELECT words.doc_id, count(c.p) AS gone,
+         string_agg(v, ' ' ORDER BY words.p) FILTER (WHERE c.p IS NULL) AS rest
+  FROM words LEFT JOIN c ON words.doc_id = c.doc_id AND words.p = c.p GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(gone, 0) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+_ALNUM = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+_OP10_SQL = f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM} AS w FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS g
+  FROM (SELECT item, w, least(13, len(w)) AS n, unnest(generate_series(1, greatest(1, len(w) - 12))) AS k
+        FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS k
+        FROM d JOIN (SELECT DISTINCT n FROM iw) ON len(w) >= n)),
+hits AS (SELECT doc_id, k, n, item FROM dw JOIN iw USING (g, n)),
+cov AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
 def oracle() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express."""
+    return {"op2_remove_repeats": _OP2_SQL, "op10_decontaminate": _OP10_SQL}
