@@ -69,9 +69,8 @@ def _row_key(seed: int, epoch: Column) -> Column:
 
 def _measure(sources: DataFrame, exponents: list[float], budget: float | None) -> list[tuple[float, float, float]]:
     """(exponent, entropy, largest number of passes) for each exponent, in one job."""
-    total = sources.agg(F.sum("tokens").alias("total"))
-    p = sources.filter("tokens > 0").join(F.broadcast(total)).select(
-        F.log(F.col("tokens") / F.col("total")).alias("lp"), F.col("total"))
+    total = sources.agg(F.sum("tokens")).first()[0] or 1
+    p = sources.filter("tokens > 0").select(F.log(F.col("tokens") / F.lit(float(total))).alias("lp"))
     grid = p.withColumn("a", F.explode(F.array(*[F.lit(float(a)) for a in exponents])))
     # With w = p^a and z = sum(w): entropy = log z - a * sum(w * log p) / z; passes of a source
     # are w / p / z * budget / total; without a budget the smallest number of passes is one.
@@ -79,8 +78,8 @@ def _measure(sources: DataFrame, exponents: list[float], budget: float | None) -
     ratio = F.exp((F.col("a") - 1) * F.col("lp"))
     rows = grid.groupBy("a").agg(
         F.sum(w).alias("z"), F.sum(w * F.col("lp")).alias("m"),
-        F.max(ratio).alias("most"), F.min(ratio).alias("least"), F.first("total").alias("total"))
-    most = F.col("most") / F.col("least") if budget is None else F.col("most") / F.col("z") * F.lit(float(budget)) / F.col("total")
+        F.max(ratio).alias("most"), F.min(ratio).alias("least"))
+    most = F.col("most") / F.col("least") if budget is None else F.col("most") / F.col("z") * F.lit(float(budget) / total)
     found = rows.select("a", (F.log("z") - F.col("a") * F.col("m") / F.col("z")).alias("h"), most.alias("e"))
     return sorted(tuple(r) for r in found.collect())  # one row per exponent
 
@@ -122,14 +121,13 @@ def plan(
     sources = stage(keyed.groupBy("_s").agg(
         F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")), "sources")
     a = exponent(sources, entropy, max_epochs, budget)
-    total = sources.agg(F.sum("tokens").alias("total"))
-    powered = sources.join(F.broadcast(total)).withColumn(
-        "w", F.when(F.col("tokens") > 0, F.pow(F.try_divide("tokens", "total"), F.lit(a))).otherwise(0.0))
-    of_all = powered.agg(F.sum("w").alias("z"), F.max(F.when(F.col("tokens") > 0, F.col("tokens") / F.col("w"))).alias("m"))
-    weighted = powered.join(F.broadcast(of_all))
-    spend = F.col("m") * F.col("z") if budget is None else F.lit(float(budget))
-    weighted = weighted.withColumn("weight", F.coalesce(F.try_divide("w", "z"), F.lit(0.0))).withColumn(
-        "epochs", F.when(F.col("tokens") > 0, F.col("weight") * spend / F.col("tokens")).otherwise(1.0))
+    total = sources.agg(F.sum("tokens")).first()[0] or 1
+    powered = sources.withColumn(
+        "w", F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(total)), F.lit(a))).otherwise(0.0))
+    z, m = powered.agg(F.sum("w"), F.max(F.try_divide("tokens", "w"))).first()  # two numbers
+    spend = float(m or 0.0) * float(z or 0.0) if budget is None else float(budget)
+    weighted = powered.withColumn("weight", F.col("w") / F.lit(float(z or 1.0))).withColumn(
+        "epochs", F.when(F.col("tokens") > 0, F.col("weight") * F.lit(spend) / F.col("tokens")).otherwise(1.0))
     near = F.round("epochs")  # rounding noise is no partial pass
     weighted = weighted.withColumn("epochs", F.when(F.abs(F.col("epochs") - near) < 1e-9, near).otherwise(F.col("epochs")))
     out = weighted.select(
