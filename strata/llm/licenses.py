@@ -12,8 +12,11 @@ shingles found in the document's words around the window must reach ``containmen
 Window minima are built from halves (the minima of w from those of w / 2), so all sizes together
 cost about two values per shingle and hash.
 
-Defined cases: null and empty texts and texts of fewer than five words match nothing (as do
-templates of fewer than five words, which are left out); a template found in several places of a
+A template of fewer than five words is one shingle of all its words, found by the hash of every run
+of so many words and compared word by word.
+
+Defined cases: null and empty texts match nothing (nor do templates without words, which are left
+out); a text of fewer than five words can only hold such short templates; a template found in several places of a
 document gives one row with the best place; repeated document rows give their rows once each; null
 doc_ids keep their rows; templates with one id are alternatives, the best counts; empty tables give
 no rows; other columns are ignored.
@@ -28,27 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Shared, Vocabulary, alnum_words, map_rows, mix64, parts_for, window_hashes
+from .license_templates import TEMPLATES, registered
 
 SHINGLE, HASHES, CONTAINMENT = 5, 48, 0.8
 #: Templates sent to the executors at a time, by their words.
 BLOCK_WORDS = 500_000
 
-#: Notices to look for (fixed texts): (license, text).
-TEMPLATES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-            "provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-]
 _SEEDS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -64,6 +52,24 @@ def minhashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix64(hashes * _SEEDS[k])
 
 
+class Lookup:
+    """Sorted 64-bit values with the templates of each. A bit table of their low bits sorts out
+    nearly all other values before the binary search."""
+
+    def __init__(self, of: dict[int, list[int]]) -> None:
+        self.known = np.array(sorted(of), np.uint64)
+        self.templates = [of[v] for v in sorted(of)]
+        self.low = np.zeros(1 << 16, bool)
+        self.low[self.known & np.uint64(0xFFFF)] = True
+
+    def find(self, values: np.ndarray) -> list[tuple[int, int]]:
+        """(place in ``values``, template) of every value that is known."""
+        at = np.flatnonzero(self.low[values & np.uint64(0xFFFF)])
+        slot = np.minimum(np.searchsorted(self.known, values[at]), len(self.known) - 1)
+        same = self.known[slot] == values[at]
+        return [(int(a), t) for a, s in zip(at[same], slot[same]) for t in self.templates[s]]
+
+
 class Index:
     """Bands of a block of templates, by window size."""
 
@@ -72,35 +78,44 @@ class Index:
 
         self.names: list[str] = []
         self.shingles: list[frozenset[bytes]] = []
+        self.size: list[int] = []  # words of a shingle
+        short: dict[int, dict[int, list[int]]] = {}
         bands: dict[int, dict[int, dict[int, list[int]]]] = {}
         for name, text in templates:
             words = alnum_words(text)
-            own = [b" ".join(words[i:i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
-            if not own:
+            if not words:
                 continue
+            size = min(SHINGLE, len(words))
+            own = [b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)]
             n = len(self.names)
             self.names.append(name)
             self.shingles.append(frozenset(own))
+            self.size.append(size)
             word_hash = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-            hashes = window_hashes(word_hash, SHINGLE)
+            hashes = window_hashes(word_hash, size)
+            if size < SHINGLE:
+                short.setdefault(size, defaultdict(list))[int(hashes[0])].append(n)
+                continue
             w = window_size(len(own))
             for k in range(HASHES if w > 1 else 1):
                 value = int(minhashes(hashes, k).min())
                 bands.setdefault(w, {}).setdefault(k, defaultdict(list))[value].append(n)
-        #: window size -> per hash: sorted values and the templates of each
-        self.bands = {
-            w: [(np.array(sorted(of), np.uint64), [of[v] for v in sorted(of)]) for _, of in sorted(by.items())]
-            for w, by in bands.items()}
+        #: window size -> a lookup per hash
+        self.bands = {w: [Lookup(of) for _, of in sorted(by.items())] for w, by in bands.items()}
+        #: words -> lookup of the short templates by the hash of all their words
+        self.short = {size: Lookup(of) for size, of in sorted(short.items())}
+
+    def retrieve_short(self, word_hash: np.ndarray) -> list[tuple[int, int, int]]:
+        """(template, word, 1) of every run of words with the hash of a short template."""
+        return [(t, at, 1) for size, lookup in self.short.items()
+                for at, t in lookup.find(window_hashes(word_hash, size))]
 
     def retrieve(self, hashes: np.ndarray) -> list[tuple[int, int, int]]:
         """(template, first shingle, window size) of every window that shares a band."""
         found: set[tuple[int, int, int]] = set()
 
         def look(values: np.ndarray, w: int, k: int, step: int) -> None:
-            known, of = self.bands[w][k]
-            slot = np.minimum(np.searchsorted(known, values), len(known) - 1)
-            for at in np.flatnonzero(known[slot] == values):
-                found.update((t, int(at) * step, w) for t in of[slot[at]])
+            found.update((t, at * step, w) for at, t in self.bands[w][k].find(values))
 
         sizes = [w for w in self.bands if w > 1]
         if 1 in self.bands:
@@ -123,14 +138,14 @@ def _verify(index: Index, words: list[bytes], found: list[tuple[int, int, int]],
             ) -> dict[str, tuple[float, int, int]]:
     """license -> (containment, first word, words) of the best place in one document."""
     best: dict[str, tuple[float, int, int]] = {}
-    n = len(words) - SHINGLE + 1
     for t, start, w in found:
-        own = index.shingles[t]
-        places = [i for i in range(start, min(start + w, n)) if b" ".join(words[i:i + SHINGLE]) in own]
-        seen = {b" ".join(words[i:i + SHINGLE]) for i in places}
+        own, size = index.shingles[t], index.size[t]
+        n = len(words) - size + 1
+        places = [i for i in range(start, min(start + w, n)) if b" ".join(words[i:i + size]) in own]
+        seen = {b" ".join(words[i:i + size]) for i in places}
         share = len(seen) / len(own)
         if share >= containment:
-            row = (share, -places[0], places[-1] + SHINGLE - places[0])
+            row = (share, -places[0], places[-1] + size - places[0])
             if row > best.get(index.names[t], (0.0, 0, 0)):
                 best[index.names[t]] = row
     return best
@@ -153,7 +168,8 @@ def _scan(docs: DataFrame, index: Index, containment: float) -> DataFrame:
         hashes = window_hashes(word_hash, SHINGLE)  # of the joined words: shingles across two
         first = np.cumsum(lengths) - lengths        # documents only cost candidates, see below
         by_doc: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for t, start, w in own.retrieve(hashes) if len(hashes) else ():
+        found = own.retrieve(hashes) if len(hashes) else []
+        for t, start, w in found + own.retrieve_short(word_hash):
             a = int(np.searchsorted(first + lengths, start, side="right"))
             while a < len(split) and first[a] < start + w:  # a window may lie over several documents
                 by_doc[a].append((t, max(0, start - int(first[a])), w - max(0, int(first[a]) - start)))
@@ -173,11 +189,11 @@ def _scan(docs: DataFrame, index: Index, containment: float) -> DataFrame:
 def scan_licenses(docs: DataFrame, templates: DataFrame | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, license, containment, first_word, n_words: a row for each license of a document.
 
-    ``templates`` has columns license and text; without it, TEMPLATES are used. Templates are
-    handled in blocks of about BLOCK_WORDS words."""
+    ``templates`` has columns license and text; without it, the registered
+    table (``license_templates``) is used. Templates are handled in blocks of about BLOCK_WORDS words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if templates is None:
-        return _scan(docs, Index(TEMPLATES), containment)
+        return _scan(docs, Index(registered()), containment)
     own = templates.select("license", "text").filter("license is not null and text is not null").distinct()
     n_bytes = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = parts_for(n_bytes, BLOCK_WORDS * 6)
