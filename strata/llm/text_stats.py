@@ -106,11 +106,14 @@ def with_stats(docs: DataFrame) -> DataFrame:
     return map_rows(plain, run, schema)
 
 
+def labelled(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of every labelled document; contradicting labels count as the larger."""
+    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    return known.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def labelled_sample(labels: DataFrame, label: str, learns: F.Column, rows: int) -> DataFrame:
     """(doc_id, label) of about ``rows`` labelled documents at most, chosen by a hash of the id:
     the same rows on every run. ``learns`` says which ids may be learned from."""
-    known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learns).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    # one row per document; contradicting labels count as the larger
-    return known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(
-        F.xxhash64(F.lit("sample"), "doc_id")).limit(rows)
+    return labelled(labels.filter(learns), label).orderBy(F.xxhash64(F.lit("sample"), "doc_id")).limit(rows)
