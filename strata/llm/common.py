@@ -23,6 +23,8 @@ from strata.session import scratch_dir
 
 #: Bytes of text that one step of a batch works on at a time.
 SLICE_BYTES = 4 << 20
+#: What a row counts for besides its text: its other columns, as Python values.
+ROW_BYTES = 512
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -126,11 +128,12 @@ def _sizes(batch: pa.RecordBatch, text: str) -> np.ndarray:
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
-    return sizes.to_numpy(zero_copy_only=False).astype(np.int64)
+    return sizes.to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.RecordBatch, int]]:
-    """Whole rows, about ``limit`` bytes of text at a time (one row at least), and their bytes."""
+    """Whole rows, about ``limit`` bytes at a time (one row at least), and their bytes: those of the
+    text and ROW_BYTES a row."""
     if batch.num_rows == 0:
         return
     ends = np.cumsum(_sizes(batch, text))
@@ -143,7 +146,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[tuple[pa.Re
 
 
 def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
-    """Slices of one or several batches that make up about ``limit`` bytes of text."""
+    """Slices of one or several batches that make up about ``limit`` bytes."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
