@@ -2,9 +2,10 @@
 
 Features are the distinct lower-cased words of a text and their prefixes of 4 and 5 characters.
 The logistic model is fitted on a bounded, labelled sample with an L1 penalty (proximal gradient)
-and a counterfactual penalty: in labelled sentences that mention a group, the group's term is
-swapped for another one; in others a term is added, as a neutral mention would. The mean squared
-change of the score under these swaps is part of the loss, so terms for groups get no weight of
+and a counterfactual penalty: in every labelled sentence that mentions a group, the group's term is
+swapped for another one; to documents that mention none a term is added, as a neutral mention would.
+The squared change of the score under these swaps, meaned over the swaps of a document and then
+over documents, is part of the loss, so terms for groups get no weight of
 their own and neutral mentions are not taken for abuse.
 
 Defined cases: null and empty texts have no features and get the score of the intercept; without
@@ -81,7 +82,8 @@ def _sample(docs: DataFrame, labels: DataFrame, learns: F.Column, per_class: int
 
 
 def _training_rows(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """Features of the sampled documents, and the features that a swap removes and adds."""
+    """Features of the sampled documents, and the features that each swap removes and adds: one swap
+    for every sentence that names a group."""
     def run(rows: dict[str, list]) -> dict[str, list]:
         own, gone, new = [], [], []
         packed = lambda fs: np.array(fs, "<i4").tobytes()
@@ -89,15 +91,14 @@ def _training_rows(docs: DataFrame, marked: DataFrame) -> DataFrame:
             own.append(packed(sorted({f for w in words(text) for f in features(w)})))
             sentences = [s for s in _SENTENCE.split((text or "").lower()) if s.strip()]
             named = [s for s in sentences if any(t in _KIND for t in words(s))]
-            pool = named or sentences or [""]
-            old, fresh = swap(pool[doc % len(pool)], doc)
-            gone.append(packed([f for w in old for f in features(w)]))
-            new.append(packed([f for w in fresh for f in features(w)]))
+            swaps = [swap(s, doc + k) for k, s in enumerate(named or [""])]
+            gone.append([packed([f for w in old for f in features(w)]) for old, _ in swaps])
+            new.append([packed([f for w in fresh for f in features(w)]) for _, fresh in swaps])
         return {"doc_id": rows["doc_id"], "label": rows["label"], "own": own, "gone": gone, "new": new}
 
     joined = docs.join(F.broadcast(marked), "doc_id").dropDuplicates(["doc_id"])
     return map_rows(joined.select("doc_id", "label", "text"), run,
-                    "doc_id long, label int, own binary, gone binary, new binary")
+                    "doc_id long, label int, own binary, gone array<binary>, new array<binary>")
 
 
 def _sparse(lists: list, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,9 +110,11 @@ def _sparse(lists: list, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(
     own: list, label: np.ndarray, gone: list, new: list, prior: float,
-    penalty: float = 0.0001, counterfactual: float = 1.0, rounds: int = 400,
+    penalty: float = 0.0001, counterfactual: float = 1.0, rounds: int = 400, of: np.ndarray | None = None,
 ) -> tuple[float, dict[int, float]]:
-    """Intercept and weights of the features that matter; ``prior`` is the share of label 1."""
+    """Intercept and weights of the features that matter; ``prior`` is the share of label 1. ``of``
+    names the row of each swap in ``gone`` and ``new`` (one swap a row without it); the swaps of a
+    row share its weight."""
     n = len(label)
     if n == 0:
         return 0.0, {}
@@ -132,10 +135,12 @@ def train(
     sign = np.concatenate([-np.ones(len(out_row)), np.ones(len(in_row))])
     weight = np.where(label == 1, prior / share, (1 - prior) / (1 - share)) / n  # classes as in the labels
     k = len(chosen)
+    of = np.arange(n) if of is None else of
+    part = 1.0 / np.bincount(of, minlength=n)[of]  # of a row's weight, by swap
     # Step from row-sum bounds on the curvature of both parts of the loss.
     load = weight * (np.bincount(row, minlength=n) + 1.0)
     curve = 0.25 * max(load.sum(), np.bincount(col, load[row], k).max(initial=0.0))
-    moved = np.bincount(d_row, minlength=n)
+    moved = part * np.bincount(d_row, minlength=len(of))
     curve += 2 * counterfactual / n * np.bincount(d_col, moved[d_row], k).max(initial=0.0)
     step = 1.0 / max(curve, 1e-6)
     w, v, b, vb, t = np.zeros(k), np.zeros(k), 0.0, 0.0, 1.0
@@ -144,7 +149,7 @@ def train(
         miss = weight * (p - label)
         slope = np.bincount(col, miss[row], k)
         if len(d_row):
-            change = np.bincount(d_row, sign * v[d_col], n)
+            change = part * np.bincount(d_row, sign * v[d_col], len(of))
             slope = slope + 2 * counterfactual / n * np.bincount(d_col, sign * change[d_row], k)
         new_w = v - step * slope
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - step * penalty, 0)
@@ -185,9 +190,11 @@ def toxicity_scores(
     marked, counts = _sample(docs, labels, crc_fold("doc_id", 5) != 0, per_class)
     known = sorted(_training_rows(docs, marked).collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    unpacked = {c: [np.frombuffer(r[c], "<i4") for r in known] for c in ("own", "gone", "new")}
-    base, weights = train(unpacked["own"], np.array([r["label"] for r in known], float),
-                          unpacked["gone"], unpacked["new"], prior, counterfactual=counterfactual)
+    own = [np.frombuffer(r["own"], "<i4") for r in known]
+    gone, new = ([np.frombuffer(x, "<i4") for r in known for x in r[c]] for c in ("gone", "new"))
+    of = np.repeat(np.arange(len(known)), [len(r["gone"]) for r in known])
+    base, weights = train(own, np.array([r["label"] for r in known], float), gone, new, prior,
+                          counterfactual=counterfactual, of=of)
     shared = Shared(docs.sparkSession, Scorer(base, weights))
 
     def run(rows: dict[str, list]) -> dict[str, list]:
