@@ -1,7 +1,8 @@
 """Operators as pipeline steps: documents in, documents out, all columns kept.
 
-A document is known by its doc_id; rows with one doc_id are copies of one document. A null doc_id
-gets a stand-in from its text for the length of a step.
+Near-dedup knows a document by its doc_id and takes rows with one doc_id for copies of one document;
+decontamination knows it by doc_id and text. A null doc_id gets a stand-in from its text for the
+length of a step.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ def drop_near_dups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFr
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents that the benchmark does not contaminate; clean ones stay as they are."""
-    verdicts = decontaminate(docs.select(_key().alias("doc_id"), "text"), items)
+    """Rows that the benchmark does not contaminate; clean ones stay as they are. Rows with one
+    doc_id and different texts are judged each for itself."""
+    key = F.xxhash64(_key(), "text")
+    verdicts = decontaminate(docs.select(key.alias("doc_id"), "text"), items)
     gone = verdicts.filter("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    return _keyed(docs).join(sized_broadcast(gone), "_key", "left_anti").select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    return rows.join(sized_broadcast(gone), "_key", "left_anti").select("_row.*")
