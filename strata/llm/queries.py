@@ -10,6 +10,7 @@ from strata.session import scratch_dir
 
 from .common import table
 from .decontaminate import decontaminate
+from .fill_middle import digest, fill_middle
 from .language import detect
 from .licenses import scan_licenses
 from .mixing import mix
@@ -75,10 +76,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(fill_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_share=50))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_remove_repeats, op3_language, op4_simhash_near_dups, op5_quality_rules,
         op6_toxicity, op7_licenses, op8_token_store, op9_quality_scores, op10_decontaminate,
+        op11_fill_middle,
     )}
 
 
@@ -128,6 +134,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 
+_OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n,
+         CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid,
+         array_to_string(u[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+
 def oracle() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op2_remove_repeats": _OP2_SQL, "op10_decontaminate": _OP10_SQL}
+    return {"op2_remove_repeats": _OP2_SQL, "op10_decontaminate": _OP10_SQL,
+            "op11_fill_middle": _OP11_SQL}
