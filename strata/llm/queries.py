@@ -11,6 +11,7 @@ from strata.session import scratch_dir
 from .common import table
 from .decontaminate import decontaminate
 from .fill_middle import digest, fill_middle
+from .filter_audit import failed_filters, interaction_audit
 from .language import detect
 from .licenses import scan_licenses
 from .mixing import mix
@@ -80,11 +81,15 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(fill_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm_share=50))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction_audit(failed_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_remove_repeats, op3_language, op4_simhash_near_dups, op5_quality_rules,
         op6_toxicity, op7_licenses, op8_token_store, op9_quality_scores, op10_decontaminate,
-        op11_fill_middle,
+        op11_fill_middle, op12_filter_audit,
     )}
 
 
@@ -158,7 +163,55 @@ SELECT doc_id, n, form,
 FROM p"""
 
 
+_OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id),
+s AS (SELECT t, min(doc_id) AS least_id FROM d GROUP BY t),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         (len(w) < 200)::INT AS fa, (100 * len(list_distinct(w)) < 50 * len(w))::INT AS fb,
+         (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT AS fc,
+         regexp_matches(t, '[#$%&*|]')::INT AS fd, coalesce(d.doc_id > least_id, false)::INT AS fe
+  FROM d JOIN s USING (t) LEFT JOIN l ON d.doc_id = l.doc_id),
+g AS (
+  SELECT part, {'A': fa, 'B': fb, 'C': fc, 'D': fd, 'E': fe} AS x, count(*) AS n, sum(good) AS good, sum(bad) AS bad
+  FROM f GROUP BY ALL),
+g2 AS (
+  SELECT part, n, good, bad, concat(CASE WHEN x.A = 1 THEN 'A' ELSE '' END, CASE WHEN x.B = 1 THEN 'B' ELSE '' END,
+         CASE WHEN x.C = 1 THEN 'C' ELSE '' END, CASE WHEN x.D = 1 THEN 'D' ELSE '' END,
+         CASE WHEN x.E = 1 THEN 'E' ELSE '' END) AS fails FROM g),
+a AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (
+  SELECT a1.c || a2.c || a3.c || a4.c || a5.c AS filter_order
+  FROM a a1 JOIN a a2 ON a2.c <> a1.c JOIN a a3 ON a3.c NOT IN (a1.c, a2.c)
+  JOIN a a4 ON a4.c NOT IN (a1.c, a2.c, a3.c) JOIN a a5 ON a5.c NOT IN (a1.c, a2.c, a3.c, a4.c)),
+st AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+e AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS own, n, good, bad, fails,
+         contains(fails, substr(filter_order, step, 1)) AS hit,
+         translate(fails, substr(filter_order, 1, step - 1), '') <> fails AS earlier
+  FROM g2 CROSS JOIN st),
+r AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN NOT hit AND NOT earlier THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN hit AND NOT earlier THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN hit AND earlier THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN hit AND NOT earlier THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN hit AND NOT earlier THEN bad ELSE 0 END) AS toxic_lost
+  FROM e GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r"""
+
+
 def oracle() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {"op2_remove_repeats": _OP2_SQL, "op10_decontaminate": _OP10_SQL,
-            "op11_fill_middle": _OP11_SQL}
+            "op11_fill_middle": _OP11_SQL, "op12_filter_audit": _OP12_SQL}
