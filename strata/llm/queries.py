@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.session import scratch_dir
 
@@ -15,6 +16,7 @@ from .filter_audit import failed_filters, interaction_audit
 from .language import detect
 from .licenses import scan_licenses
 from .mixing import mix
+from .neighbours import nearest_neighbours
 from .quality_rules import quality_rules
 from .rule_ensemble import quality_scores
 from .simhash import simhash_near_dups
@@ -85,11 +87,15 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction_audit(failed_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_remove_repeats, op3_language, op4_simhash_near_dups, op5_quality_rules,
         op6_toxicity, op7_licenses, op8_token_store, op9_quality_scores, op10_decontaminate,
-        op11_fill_middle, op12_filter_audit,
+        op11_fill_middle, op12_filter_audit, op13_nearest_neighbours,
     )}
 
 
