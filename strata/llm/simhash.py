@@ -53,16 +53,16 @@ def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = 4, more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, *more) with the fingerprint and the ``more`` columns as signed 64-bit integers."""
 
     def run(rows: dict[str, list]) -> dict[str, list]:
         own = np.array([fingerprint(t, shingle) for t in rows["text"]], np.uint64)
-        return {"doc_id": rows["doc_id"], "fp": own.view(np.int64)}
+        return {"doc_id": rows["doc_id"], "fp": own.view(np.int64)} | {c: rows[c] for c in more}
 
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                F.col("text").cast("string").alias("text")),
-                    run, "doc_id long, fp long")
+                                F.col("text").cast("string").alias("text"), *more),
+                    run, "doc_id long, fp long" + "".join(f", {c} long" for c in more))
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -182,6 +182,14 @@ def near_links(distinct: DataFrame, radius: int, limit: int = BUCKET_ROWS) -> Da
         rows = large.select(F.col("a").alias("fp"), F.explode(finer[F.col("mask")]).alias("mask")).distinct()
 
 
+def near_dup_roots(nodes: DataFrame, radius: int = 4) -> DataFrame:
+    """``nodes``, one row per distinct fingerprint ``fp``, with ``root``: a fingerprint of the group that
+    names it."""
+    roots = components(near_links(nodes.select("fp"), radius))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        *[nodes[c] for c in nodes.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_near_dups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``.
 
@@ -189,11 +197,19 @@ def simhash_near_dups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> Dat
     bits. Equal fingerprints are one node, so copies of a text never meet pair by pair."""
     fps = stage(fingerprints(docs, shingle), "fingerprints")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    nodes = stage(nodes, "distinct-fingerprints")
-    roots = components(near_links(nodes.select("fp"), radius))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    named = near_dup_roots(stage(nodes, "distinct-fingerprints"), radius)
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = named.join(least, "root").select("fp", "component_id")
     return fps.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_dup_firsts(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """(doc_id, text_key) of one row of each group: the smallest doc_id (null last), then the smallest
+    hash of the text. Rows are told apart by both, so rows that share an id are documents of their own.
+    No row is joined with its group: minima per fingerprint, then per group, are combined map-side."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    fps = stage(fingerprints(keyed, shingle, ("text_key",)), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    nodes = stage(fps.groupBy("fp").agg(F.min(place).alias("first")), "distinct-fingerprints")
+    return near_dup_roots(nodes, radius).groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_key")

@@ -1,8 +1,16 @@
 """Operators as pipeline steps: documents in, documents out, all columns kept.
 
-Near-dedup knows a document by its doc_id and takes rows with one doc_id for copies of one document;
-decontamination knows it by doc_id and text. A null doc_id gets a stand-in from its text for the
-length of a step.
+A document is known by its doc_id and text: rows that share an id and hold different texts are
+documents of their own. What a step gives for odd input:
+
+* ``drop_near_dups``: null and empty texts and texts without a word are one group (their fingerprint
+  is 0); in a group the smallest doc_id stays, a null id only if the group has no other, and of rows
+  with that id the one whose text has the smallest hash; repeated rows give one row (any of those
+  that are equal in id and text); the result does not depend on the order of the rows.
+* ``drop_contaminated``: null and empty texts stay; repeated rows stay or go together.
+
+Empty tables give no rows. The columns of the input travel as one value, so none of their names can
+clash with a step's own.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators.joins import sized_broadcast
 
 from .decontaminate import decontaminate
-from .simhash import simhash_near_dups
+from .simhash import near_dup_firsts
 
 
 def _key() -> Column:
@@ -21,24 +29,22 @@ def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), stand_in)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The whole row as one column, so that no name of it can clash, and the key."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _key().alias("_key"))
+def _whole(docs: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
 
 
 def drop_near_dups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id, one row of it."""
-    keyed = docs.select(_key().alias("doc_id"), "text")
-    groups = simhash_near_dups(keyed, shingle, radius)
-    first = groups.select(F.col("component_id").alias("_key")).distinct()
-    return _keyed(docs).join(first, "_key", "left_semi").dropDuplicates(["_key"]).select("_row.*")
+    """One document of each near-duplicate group of SimHash."""
+    first = near_dup_firsts(docs, shingle, radius).select(F.col("doc_id").alias("_first"), "text_key")
+    rows = docs.select(_whole(docs), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"))
+    same = F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_key") == F.col("text_key"))
+    return rows.join(first, same, "left_semi").dropDuplicates(["_id", "_key"]).select("_row.*")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows that the benchmark does not contaminate; clean ones stay as they are. Rows with one
-    doc_id and different texts are judged each for itself."""
+    """Rows that the benchmark does not contaminate; clean ones stay as they are."""
     key = F.xxhash64(_key(), "text")
     verdicts = decontaminate(docs.select(key.alias("doc_id"), "text"), items)
     gone = verdicts.filter("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    rows = docs.select(_whole(docs), key.alias("_key"))
     return rows.join(sized_broadcast(gone), "_key", "left_anti").select("_row.*")
