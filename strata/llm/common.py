@@ -12,6 +12,7 @@ import pickle
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -221,7 +222,9 @@ def window_hashes(word_hash: np.ndarray, size: int) -> np.ndarray:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and re.search(r"[^\W\d_]", text) is not None
+    """Whether a character of Unicode category L occurs. (Numerals such as the superscript two are word
+    characters too, but no letters.)"""
+    return bool(text) and any(category(m[0])[0] == "L" for m in re.finditer(r"[^\W\d_]", text))
 
 
 def crc_fold(column: str, mod: int) -> F.Column:

@@ -5,7 +5,7 @@ machines (squared hinge, dual coordinate descent) tell families apart one-versus
 family that wins, one-versus-one machines vote on the language. Margins become probabilities by a
 logistic curve fitted per machine, and the score is the family's times the language's.
 
-The machines are fitted on a bounded sample of rows (``per_lang`` for each language).
+The machines are fitted on a bounded sample of rows (``per_lang`` for each language, ``max_rows`` in all).
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; without rows to learn
 from every text is ``und``; with one language every text with a letter gets it with score 1; ties go
@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Shared, crc_fold, has_letter, map_rows
+from .common import Shared, crc_fold, has_letter, map_rows, stage
 
 #: Families of the languages that may be close to each other (ISO 639-1); any other code is a
 #: family of its own.
@@ -146,15 +146,22 @@ class LanguageModel:
         return langs, scores
 
 
-def fit(docs: DataFrame, learns: F.Column, per_lang: int = PER_LANG) -> LanguageModel:
-    """A model from up to ``per_lang`` rows of each language, MAX_ROWS in all (10,000 languages)."""
+def fit(
+    docs: DataFrame, learns: F.Column, per_lang: int = PER_LANG, max_rows: int = MAX_ROWS,
+) -> LanguageModel:
+    """A model from up to ``per_lang`` rows of each language, ``max_rows`` in all and at least one of each:
+    more languages than ``max_rows`` are an error."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learns).select(
         "doc_id", "lang", "text")
     order = F.xxhash64(F.lit("sample"), "doc_id")
     # Candidates by a threshold on the hash, so that no language is ranked whole in one task.
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.least(F.lit(1.0), F.lit(3.0 * per_lang) / F.col("n"))
-    some = rows.join(F.broadcast(counts.select("lang", share.alias("share")).orderBy("lang").limit(10_000)), "lang").filter(
+    shares = stage(counts.select("lang", share.alias("share")), "languages")
+    n_langs = shares.count()
+    if n_langs > max_rows:
+        raise ValueError(f"{n_langs} languages, but a model may learn from {max_rows} rows only")
+    some = rows.join(F.broadcast(shares), "lang").filter(  # max_rows names at most
         F.pmod(order, F.lit(1 << 20)) < F.col("share") * (1 << 20))
 
     def run(part: dict[str, list]) -> dict[str, list]:
@@ -166,14 +173,14 @@ def fit(docs: DataFrame, learns: F.Column, per_lang: int = PER_LANG) -> Language
     vectors = map_rows(plain, run, "place long, doc_id long, lang string, x binary")
     by_lang = Window.partitionBy("lang").orderBy("place", "doc_id", "x")
     ranked = vectors.withColumn("rank", F.row_number().over(by_lang)).filter(F.col("rank") <= per_lang)
-    found = ranked.orderBy("rank", "lang").limit(MAX_ROWS).select("rank", "lang", "x").collect()
+    found = ranked.orderBy("rank", "lang").limit(max_rows).select("rank", "lang", "x").collect()
     found.sort(key=lambda r: (r["rank"], r["lang"]))
     return LanguageModel([unpack(r["x"]) for r in found], [r["lang"] for r in found])
 
 
-def detect(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+def detect(docs: DataFrame, per_lang: int = PER_LANG, max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` with held_out, lang_pred and score for every row."""
-    model = fit(docs.filter(F.col("doc_id").isNotNull()), crc_fold("doc_id", 3) != 1, per_lang)
+    model = fit(docs.filter(F.col("doc_id").isNotNull()), crc_fold("doc_id", 3) != 1, per_lang, max_rows)
     return predict(docs, model)
 
 
@@ -189,9 +196,11 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
         "doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_score: float, per_lang: int = PER_LANG) -> DataFrame:
+def keep_known(
+    docs: DataFrame, min_score: float, per_lang: int = PER_LANG, max_rows: int = MAX_ROWS,
+) -> DataFrame:
     """Rows of ``docs`` whose language is known with at least ``min_score``; columns unchanged."""
-    model = fit(docs.filter(F.col("doc_id").isNotNull()), crc_fold("doc_id", 3) != 1, per_lang)
+    model = fit(docs.filter(F.col("doc_id").isNotNull()), crc_fold("doc_id", 3) != 1, per_lang, max_rows)
     shared = Shared(docs.sparkSession, model)
 
     @F.pandas_udf("boolean")

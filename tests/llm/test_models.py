@@ -123,6 +123,21 @@ def test_language_held_out_accuracy(spark):
     assert rows.score.between(0, 1).all()
 
 
+def test_only_category_l_counts_as_letters(spark):
+    rows = [(k, "the cat sat on the mat and was happy " * 3) for k in range(30)]
+    odd = ["² ½ ③", "Ⅷ ७ _", "🙂", "ª", "ʰ 1", "日", "1 é"]
+    got = {r.doc_id: r.lang_pred for r in language.detect(docs(spark, rows + [*enumerate(odd, 50)])).collect()}
+    assert [got[50 + k] for k in range(len(odd))] == ["und"] * 3 + ["en"] * 4
+
+
+def test_every_language_is_learned_or_the_fit_fails(spark):
+    rows = [(k, f"{'abcdefghij'[k % 10] * 3} text {k}", f"l{k % 10}") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language.fit(df, F.lit(True), max_rows=10).families.names) == 10
+    with pytest.raises(ValueError, match="10 languages"):
+        language.fit(df, F.lit(True), max_rows=9)
+
+
 def test_language_odd_inputs(spark):
     rows = [(k, "the cat sat on the mat and was happy " * 3) for k in range(30)]
     df = docs(spark, [*rows, (50, None), (51, ""), (52, "123 !!! --"), (None, "the cat"), (3, "the mat")])
