@@ -13,7 +13,7 @@ sent to the executors; any number of blocks gives the same rows.
 
 Defined cases: null and empty texts have no words (n_words 0, not contaminated); items without
 words never occur; items with equal text all count; repeated document rows come back once
-each; null item ids are not counted; null doc ids keep their rows; an empty benchmark marks
+each; words of items without an id are hit, the id is not counted; null doc ids keep their rows; an empty benchmark marks
 nothing; an empty document table gives no rows; other columns are ignored.
 """
 
@@ -35,7 +35,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
-    """(window, item_ids): each distinct window with the sorted ids of its items."""
+    """(window, item_ids): each distinct window with the sorted ids of its items; an item without an id
+    gives windows, but no id."""
 
     def run(rows: dict[str, list]) -> dict[str, list]:
         ids, windows = [], []
@@ -48,7 +49,7 @@ def item_windows(items: DataFrame, size: int) -> DataFrame:
 
     plain = items.select(F.col("item_id").cast("string").alias("item_id"),
                          F.col("text").cast("string").alias("text"))
-    pairs = map_rows(plain.filter("item_id is not null"), run, "item_id string, window binary")
+    pairs = map_rows(plain, run, "item_id string, window binary")
     return pairs.groupBy("window").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
 

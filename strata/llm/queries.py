@@ -123,7 +123,7 @@ _ALNUM = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQR
 
 _OP10_SQL = f"""
 WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
-i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ALNUM} AS w FROM benchmark),
 iw AS (
   SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS g
   FROM (SELECT item, w, least(13, len(w)) AS n, unnest(generate_series(1, greatest(1, len(w) - 12))) AS k
@@ -137,7 +137,7 @@ cov AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM hits) GROUP BY doc_id),
 found AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,

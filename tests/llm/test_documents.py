@@ -129,9 +129,8 @@ def _contaminated(rows, items, size=13):
     windows = {}
     for item, text in items:
         w = ALNUM.findall((text or "").encode().lower())
-        if item is not None and w:
-            for k in range(max(1, len(w) - size + 1)):
-                windows.setdefault(tuple(w[k:k + size]), set()).add(str(item))
+        for k in range(max(1, len(w) - size + 1)) if w else ():  # without an id: words are hit, no id counts
+            windows.setdefault(tuple(w[k:k + size]), set()).update([] if item is None else [str(item)])
     out = []
     for i, t in rows:
         w = ALNUM.findall((t or "").encode().lower())
@@ -150,7 +149,7 @@ def _contaminated(rows, items, size=13):
 def test_decontaminate_equals_brute_force(spark, block_windows):
     items = [(k, ROWS[k][1]) for k in (0, 3, 6, 9, 14)] + [
         (100, "same"), (101, "SAME same same"), (102, ""), (103, None), (104, ROWS[3][1]), (105, "日本語"),
-        (None, "w1 w2"), (9, "w1 w2 w3"), (106, "!!"), (11, ROWS[6][1][:60])]
+        (None, "w1 w2"), (9, "w1 w2 w3"), (106, "!!"), (11, ROWS[6][1][:60]), (None, ROWS[20][1]), (None, None)]
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as n", "2 as window")
     got = decontaminate_docs(docs(spark, ROWS), bench, block_windows=block_windows).collect()
     assert _sorted(tuple(r) for r in got) == _sorted(_contaminated(ROWS, items))
