@@ -34,11 +34,12 @@ def _whole(docs: DataFrame) -> Column:
 
 
 def drop_near_dups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """One document of each near-duplicate group of SimHash."""
-    first = near_dup_firsts(docs, shingle, radius).select(F.col("doc_id").alias("_first"), "text_key")
-    rows = docs.select(_whole(docs), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"))
-    same = F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_key") == F.col("text_key"))
-    return rows.join(first, same, "left_semi").dropDuplicates(["_id", "_key"]).select("_row.*")
+    """One document of each near-duplicate group of SimHash. Rows are dealt out once, by id and text."""
+    key = [F.col("doc_id").isNull().alias("_none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id")]
+    names = ["_none", "_id", "_text"]
+    first = near_dup_firsts(docs, shingle, radius).select(*key, F.col("text_key").alias("_text"))
+    rows = docs.select(_whole(docs), *key, F.xxhash64("text").alias("_text"))
+    return rows.join(first, names, "left_semi").dropDuplicates(names).select("_row.*")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
