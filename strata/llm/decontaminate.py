@@ -196,11 +196,11 @@ def decontaminate(
         rows = blocks.filter(F.col("block") == n).collect()  # about block_windows rows
         texts = [bytes(r["window"]) for r in rows]
         frequency = _document_frequency(docs, {w for t in texts for w in t.split(b" ")}) if texts else {}
-        found = _probe(docs, Block(texts, [r["item_ids"] for r in rows], frequency),
-                       all_rows=n == 0, keyed=n_blocks > 1)
+        # Written before the next Python step: a task never holds two workers, whose memory adds up.
+        found = stage(_probe(docs, Block(texts, [r["item_ids"] for r in rows], frequency),
+                             all_rows=n == 0, keyed=n_blocks > 1), "hits")
         if n_blocks == 1:
             return _finish(found)
-        found = stage(found, "hits")
         hits = found if hits is None else hits.unionByName(found)
     return _merge(hits)
 
