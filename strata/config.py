@@ -95,6 +95,41 @@ CUSTOMER_SCD2 = {
 # Columns that hold personal data.
 PII_COLUMNS = {"customers": ["customer_zip_code_prefix"]}
 
+# Declared columns of the clean and star datasets, without the audit columns.
+_ORDER_METRICS = "delivery_delay_days int, order_processing_days int, is_late_delivery boolean"
+_CUSTOMER = ("customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
+             "customer_city string, customer_state string, customer_location string")
+SCHEMAS = {
+    "silver_orders": (
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
+        "order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz, "
+        "order_estimated_delivery_date timestamp_ntz, " + _ORDER_METRICS),
+    "silver_order_items": (
+        "order_id string, order_item_id int, product_id string, seller_id string, "
+        "shipping_limit_date timestamp_ntz, price double, freight_value double, total_item_value double"),
+    "silver_customers_preprocessed": _CUSTOMER,
+    "silver_product_category": "product_category_name string, product_category_name_english string",
+    "silver_products": (
+        "product_category_name string, product_id string, product_name_length int, "
+        "product_description_length int, product_photos_qty int, product_weight_g double, "
+        "product_length_cm double, product_height_cm double, product_width_cm double, "
+        "product_volume_cm3 double, product_category_name_english string"),
+    "silver_customers": _CUSTOMER + ", __START_AT timestamp_ntz, __END_AT timestamp_ntz",
+    "dim_customers": _CUSTOMER,
+    "dim_products": (
+        "product_id string, product_category_name string, product_category_name_english string, "
+        "product_weight_g double, product_length_cm double, product_height_cm double, "
+        "product_width_cm double, product_volume_cm3 double"),
+    "fct_order_items": (
+        "order_id string, order_item_id int, product_id string, customer_id string, seller_id string, "
+        "order_status string, order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz, "
+        "order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz, "
+        "shipping_limit_date timestamp_ntz, " + _ORDER_METRICS + ", price double, freight_value double, "
+        "total_item_value double, customer_city string, customer_state string, customer_location string, "
+        "product_category_name string, product_category_name_english string, product_volume_cm3 double"),
+}
+
 AUDIT_COLUMNS = [
     "_ingest_timestamp", "_source_file", "_processing_timestamp",
     "_dimension_refresh_timestamp", "_fact_processing_timestamp",
@@ -148,6 +183,12 @@ def table_properties(layer: str, domain: str, cluster_by: str) -> dict[str, str]
     }
 
 
+def declared_schema(dataset: str) -> T.StructType:
+    """Declared columns of a clean or star dataset, without its audit columns, timestamps without zone (as the
+    queries give them)."""
+    return T._parse_datatype_string(SCHEMAS[dataset])
+
+
 def entity(name: str) -> Entity:
     return Entity(
         name=name,

@@ -51,6 +51,15 @@ def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str | None = None)
     return df.observe(obs, *metrics), obs
 
 
+def rule_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(metric, n): ``rows`` and, under each rule's name, how many rows fail it; one aggregate."""
+    names = ["rows", *[r.name for r in rules]]
+    counts = df.agg(F.count(F.lit(1)).alias("_0"), *[
+        F.count_if(~_holds(r)).alias(f"_{k}") for k, r in enumerate(rules, 1)])
+    pairs = [F.struct(F.lit(n).alias("metric"), F.col(f"_{k}").cast("long").alias("n")) for k, n in enumerate(names)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def rule_counts(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
     """One row per rule: (dataset, rule, passed, failed) in one aggregate pass."""
     aggs = [F.count(F.lit(1)).alias("__rows")]

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from strata.session import scratch_dir
 
-START, END = "__START_AT", "__END_AT"
+START, END, LAST = "__START_AT", "__END_AT", "__LAST_AT"
 
 
 def _struct_or_const(df_col: str, names: Sequence[str]) -> Column:
@@ -71,6 +71,7 @@ def scd2_history(
     tie_breaker: Sequence[str] | None = None,
     num_partitions: int | None = None,
     checkpoint: bool = True,
+    last_at: bool = False,
 ) -> DataFrame:
     """History table of ``log``: target columns plus ``__START_AT`` / ``__END_AT``.
 
@@ -79,7 +80,8 @@ def scd2_history(
     target columns other than the keys, in order. Rows with a NULL sequence cannot be
     placed in time and are not part of the history; ``unplaced`` counts them. ``num_partitions`` (P) defaults to
     ``spark.sql.shuffle.partitions``. ``checkpoint=False`` keeps the plan lazy (the ranged
-    rows are then recomputed by each consumer).
+    rows are then recomputed by each consumer). ``last_at`` adds ``__LAST_AT``, the last sequence
+    seen inside the version.
     """
     keys = list(keys)
     target = [c for c in log.columns if c not in set(except_columns)]
@@ -195,7 +197,7 @@ def scd2_history(
     )
 
     # 5. one row per version
-    aggs = [F.max("__vend").alias(END)]
+    aggs = [F.max("__vend").alias(END), F.max("__seq").alias(LAST)]
     if tracked:
         aggs.append(F.min_by("__t", "__seq").alias("__tv"))
     if untracked:
@@ -209,12 +211,12 @@ def scd2_history(
             out_cols.append(F.col("__tv")[c].alias(c))
         else:
             out_cols.append(F.col("__uv")[c].alias(c))
-    return versions.select(*out_cols, F.col("__vstart").alias(START), F.col(END))
+    return versions.select(*out_cols, F.col("__vstart").alias(START), END, *[LAST] * last_at)
 
 
 def unplaced(log: DataFrame, sequence_by: str) -> DataFrame:
     """One row with ``n_rows``: how many change rows have a NULL sequence."""
-    return log.agg(F.count_if(F.col(sequence_by).isNull()).alias("n_rows"))
+    return log.filter(F.col(sequence_by).isNull()).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def current_rows(history: DataFrame) -> DataFrame:

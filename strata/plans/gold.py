@@ -107,39 +107,32 @@ def fct_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def fct_order_items_bounded(
-    items: DataFrame,
-    orders: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    max_gap: str,
-    lateness: str = "1 day",
+def bounded_join(
+    items: DataFrame, orders: DataFrame, max_gap: str, lateness: str | None = None, also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Streaming fact with bounded join state (opt-in variant of ``fct_order_items``).
-
-    ``items`` and ``orders`` are streams joined on ``order_id`` and on event time: an
-    item's ``shipping_limit_date`` must lie within ``max_gap`` of its order's
-    ``order_purchase_timestamp``. Both streams carry a watermark (``lateness``), so
-    Spark can drop join state older than the bound instead of keeping it forever.
-    ``customers`` and ``products`` are static dimension snapshots (stream-static
-    joins, no state). Pairs outside the time bound, rows without an event time and
-    rows arriving behind the watermark are not joined: that is the price of bounded
-    state, and why the unbounded form stays the default. ``unmatched_items`` counts what
-    a given ``max_gap`` leaves out.
-    """
-    i = items.select(*ITEM_FACT_COLUMNS).withWatermark("shipping_limit_date", lateness)
-    o = (
-        orders.select(F.col("order_id").alias("__order_id"), *ORDER_FACT_COLUMNS)
-        .withWatermark("order_purchase_timestamp", lateness)
-    )
+    """Items joined with the orders whose ``order_purchase_timestamp`` lies within ``max_gap`` of the item's
+    ``shipping_limit_date``; ``also`` names further item columns to keep.
+
+    On streams give a ``lateness``: both sides then carry a watermark, Spark drops join state that the bound
+    rules out, and rows behind the watermark are not joined (see ``strata.streaming.bounded``, which keeps
+    them). Rows without an event time join nothing."""
+    i = items.select(*ITEM_FACT_COLUMNS, *also)
+    o = orders.select(F.col("order_id").alias("__order_id"), *ORDER_FACT_COLUMNS)
+    if lateness is not None:
+        i = i.withWatermark("shipping_limit_date", lateness)
+        o = o.withWatermark("order_purchase_timestamp", lateness)
     gap = F.expr(f"INTERVAL {max_gap}")
-    matched = i.join(
+    return i.join(
         o,
         (i["order_id"] == o["__order_id"])
         & (i["shipping_limit_date"] >= o["order_purchase_timestamp"] - gap)
         & (i["shipping_limit_date"] <= o["order_purchase_timestamp"] + gap),
         "inner",
     ).drop("__order_id")
+
+
+def with_dimensions(matched: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Fact rows from items that have met their orders."""
     c = customers.select("customer_id", "customer_city", "customer_state", "customer_location")
     p = products.select(
         "product_id", "product_category_name", "product_category_name_english",
@@ -152,6 +145,20 @@ def fct_order_items_bounded(
     )
 
 
+def fct_order_items_bounded(
+    items: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    max_gap: str,
+    lateness: str = "1 day",
+) -> DataFrame:
+    """Streaming fact with bounded join state (opt-in variant of ``fct_order_items``): ``bounded_join`` of two
+    streams under watermarks; ``customers`` and ``products`` are static dimension snapshots (stream-static
+    joins, no state)."""
+    return with_dimensions(bounded_join(items, orders, max_gap, lateness), customers, products)
+
+
 def unmatched_items(items: DataFrame, orders: DataFrame, max_gap: str) -> DataFrame:
     """One row: ``n_items``, ``n_without_order`` and ``n_beyond_gap`` (an order exists, but none
     within ``max_gap`` of the item). Items are counted per order and date first, so a hot order

@@ -457,12 +457,19 @@ FROM silver_order_items i"""
     q["items_by_product_salted"] = _with(*ITEMS_CTES, *PRODUCT_CTES) + """
 SELECT i.order_id, i.order_item_id, i.product_id, p.product_category_name
 FROM silver_order_items i LEFT JOIN silver_products p ON i.product_id = p.product_id"""
+    q["items_by_hot_product_stream"] = _with(*ITEMS_CTES, *PRODUCT_CTES) + """
+SELECT i.order_id, i.order_item_id, i.product_id, p.product_category_name
+FROM (SELECT order_id, order_item_id,
+        CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '1' ELSE product_id END AS product_id
+      FROM silver_order_items) i
+JOIN silver_products p ON i.product_id = p.product_id"""
     delivered = _preprocess("customers_feed", "dim_customers")
     q["runner_incremental"] = _with(*fact_ctes, CUST_BASE, CUSTOMERS_FEED, delivered, FACT) + (
         "SELECT * FROM fct_order_items")
     props = [
         ("silver", "silver_orders", "orders", "order_id", "silver_orders"),
         ("silver", "silver_products", "products", "product_id", "silver_products"),
+        ("silver", "silver_customers", "customers", "customer_id", "(SELECT 1 WHERE false)"),
         ("gold", "dim_products", "products", "product_id", "dim_products"),
         ("gold", "fct_order_items", "order_items", "order_id", "fct_order_items"),
     ]
@@ -475,8 +482,26 @@ FROM silver_order_items i LEFT JOIN silver_products p ON i.product_id = p.produc
             f"'{k}' AS property, '{v}' AS property_value, count(*) AS n_rows FROM {source}"
             for k, v in values.items()]
     q["table_properties"] = _with(*fact_ctes, *HISTORY_CTES, FACT) + " UNION ALL ".join(rows)
-    q["clustered_ranges"] = _with(*ORDERS_CTES) + (
-        "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_overlaps FROM silver_orders")
+    q["clustered_ranges"] = _with(*ORDERS_CTES) + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_overlaps FROM {source}"
+        for name, source in (("bronze_orders", "orders_feed"), ("silver_orders", "silver_orders"),
+                             ("silver_orders_merged", "silver_orders")))
+    counted = {
+        "silver_orders": ("silver_orders", ORDER_COLS), "silver_order_items": ("silver_order_items", ITEM_COLS),
+        "silver_customers_preprocessed": ("cp", CUSTOMER_COLS),
+        "silver_product_category": ("silver_product_category", "product_category_name, product_category_name_english"),
+        "silver_products": ("silver_products", PRODUCT_COLS),
+        "silver_customers": ("customer_history", CUSTOMER_COLS + ", __START_AT, __END_AT"),
+        "dim_customers": ("dim_customers", CUSTOMER_COLS),
+    }
+    columns = {name: (source, len(cols.split(","))) for name, (source, cols) in counted.items()}
+    columns |= {"dim_products": ("dim_products", 8), "fct_order_items": ("fct_order_items", 23)}
+    q["schema_check"] = _with(
+        *fact_ctes, *HISTORY_CTES, CUSTOMERS_FEED, _preprocess("customers_feed", "cp"), FACT
+    ) + " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS n_rows, CAST({n} AS INTEGER) AS n_columns, "
+        f"CAST(0 AS INTEGER) AS n_mismatches FROM {source}" for name, (source, n) in columns.items())
+    q["silver_products_late_names"] = q["silver_products"]
     schemas = {
         "silver_orders": ("silver_orders", [
             ("order_id", "string"), ("customer_id", "string"), ("order_status", "string"),

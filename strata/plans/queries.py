@@ -17,23 +17,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import (
-    AUDIT_COLUMNS, CUSTOMER_SCD2, ENTITIES, GOLD_DOMAINS, rules_for, table_properties,
+    AUDIT_COLUMNS, CUSTOMER_SCD2, ENTITIES, GOLD_DOMAINS, declared_schema, rules_for, table_properties,
 )
 from strata.operators import changes, quality, scd2
-from strata.operators.joins import salted_join, sized_broadcast
+from strata.operators.joins import join_by_salts, salt_table, salted_join, sized_broadcast
 from strata.plans import feeds, gold, silver
 from strata.plans.bronze import ingest
 from strata.session import scratch_dir
 from strata.sources.csv_feed import write_csv_feed
+from strata.sources.buckets import BucketTable
 from strata.sources.tables import (
-    TableStore, append_stream, current_snapshot, read_snapshot, run_once, stream_in_batches,
-    write_clustered,
+    TableStore, append_stream, merge_batches, read_snapshot, read_stream, run_once, stream_in_batches,
 )
-from strata.streaming.runner import RunReport, run_layers, silver_stream
+from strata.streaming.bounded import BoundedFact
+from strata.streaming.runner import RunReport, products_stream, run_layers, silver_stream
 from strata.streaming.scd2_incremental import IncrementalHistory
 
 #: Time bound of the bounded streaming fact, and the lateness its watermarks allow.
-MAX_GAP, LATENESS = "60 days", "36500 days"
+MAX_GAP, LATENESS = "60 days", "30 days"
 
 
 def edge(df: DataFrame) -> DataFrame:
@@ -275,28 +276,27 @@ def q_bronze_lineage(spark, sf_dir):
 
 
 def _stream_files(df: DataFrame, path: str, batches: int) -> DataFrame:
-    """Store ``df`` in enough files for ``batches`` micro-batches and read it as a stream."""
-    stored = _stored(df, "stream-input")
-    each = max(1, -(-stored.count() // batches))
-    stored.write.option("maxRecordsPerFile", str(each)).parquet(path)
+    """Store ``df`` once, in enough files for ``batches`` micro-batches, and read it as a stream."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(max(batches, tasks)).write.parquet(path)
     return stream_in_batches(df.sparkSession, path, batches)
 
 
 def q_silver_products_stream(spark, sf_dir):
     root = scratch_dir(spark, "products-stream")
     out = f"{root}/silver_products"
-    category = sized_broadcast(_stored(_category(spark, sf_dir), "category"))
+    category = sized_broadcast(_category(spark, sf_dir))
     stream = _stream_files(feeds.products_feed(_t(spark, sf_dir, "part")), f"{root}/raw_products", 4)
     run_once(append_stream(silver.silver_products(stream, category), out, f"{root}/_chk"))
     return edge(read_snapshot(spark, out))
 
 
 def q_dq_metrics_stream(spark, sf_dir):
-    """Rule counts of a clean stream, summed over more than a hundred micro-batches."""
+    """Rule counts of a clean stream, as stored with each of its micro-batches and summed at the end."""
     root = scratch_dir(spark, "dq-stream")
     store, report = TableStore(root, database="strata_dq"), RunReport()
-    stream = _stream_files(feeds.products_feed(_t(spark, sf_dir, "part")), f"{root}/raw", 110)
-    category = sized_broadcast(_stored(_category(spark, sf_dir), "category"))
+    stream = _stream_files(feeds.products_feed(_t(spark, sf_dir, "part")), f"{root}/raw", 8)
+    category = sized_broadcast(_category(spark, sf_dir))
     silver_stream(spark, store, "silver_products",
                   silver.silver_products(stream, category, apply_rules=False), "products", report,
                   optional_rules=True)
@@ -307,6 +307,23 @@ def q_dq_metrics_stream(spark, sf_dir):
         "dataset string, rule string, passed long, failed long")
 
 
+def q_silver_products_late_names(spark, sf_dir):
+    """Products delivered before their categories: the first run stores them without an English name, the
+    second brings the categories and fills the names in."""
+    root = scratch_dir(spark, "late-names")
+    store = TableStore(root, database="strata_names")
+    raw, lookup = f"{root}/raw_products", store.path("silver", "silver_product_category")
+    feed = _stored(feeds.products_feed(_t(spark, sf_dir, "part")), "products-feed")
+    category = _stored(_category(spark, sf_dir), "category")
+    first = F.pmod(F.xxhash64("product_id"), F.lit(4)) > 0
+    known = F.pmod(F.xxhash64("product_category_name"), F.lit(3)) == 0
+    for run, (products, names) in enumerate(((first, known), (~first, ~known))):
+        feed.filter(products).write.parquet(f"{raw}/b{run:012d}")
+        category.filter(names).write.parquet(f"{lookup}/b{run:012d}")
+        table = products_stream(spark, store, read_stream(spark, raw), read_stream(spark, lookup), RunReport())
+    return edge(table.read())
+
+
 def _fact_inputs(spark, sf_dir) -> dict[str, DataFrame]:
     return {
         "items": _items(spark, sf_dir),
@@ -328,19 +345,51 @@ def q_fct_order_items_stream(spark, sf_dir):
     return edge(read_snapshot(spark, out))
 
 
+def _by_time(df: DataFrame, time: str, deliveries: int, late_by: int) -> DataFrame:
+    """``df`` with ``__run``, the delivery a row comes in: rows come in the order of ``time``, in equal spans of
+    it, but one row in fifty comes ``late_by`` deliveries after its time."""
+    span = df.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
+    seconds = lambda c: F.unix_timestamp(c)
+    place = (seconds(time) - seconds(F.lit(span["low"]))) / (seconds(F.lit(span["high"])) - seconds(F.lit(span["low"])) + 1)
+    run = F.coalesce(F.floor(place * deliveries), F.lit(0)).cast("int")
+    late = F.when(F.pmod(F.xxhash64("order_id", time), F.lit(50)) == 0, late_by).otherwise(0)
+    return df.withColumn("__run", F.least(run + late, F.lit(deliveries - 1)))
+
+
 def q_fct_order_items_bounded(spark, sf_dir):
-    """Streaming fact with bounded state: items and orders within MAX_GAP of each other."""
+    """Fact from two streams with bounded state, in four deliveries by event time: items and orders within
+    MAX_GAP of each other, watermarks LATENESS behind. Rows that come later than that are kept on the side and
+    joined from there, so that the fact is whole."""
     root = scratch_dir(spark, "fact-bounded")
-    inputs = _fact_inputs(spark, sf_dir)
-    fact = gold.fct_order_items_bounded(
-        _stream_files(inputs["items"], f"{root}/items", 3),
-        _stream_files(inputs["orders"], f"{root}/orders", 3),
-        sized_broadcast(_stored(inputs["customers"], "dim")),
-        sized_broadcast(_stored(inputs["products"], "dim")),
-        max_gap=MAX_GAP, lateness=LATENESS)
-    out = f"{root}/fct_order_items"
-    run_once(append_stream(fact, out, f"{root}/_chk"))
-    return edge(read_snapshot(spark, out))
+    runs = 4
+    paths = {name: f"{root}/{name}" for name in ("items", "orders")}
+    inputs = {
+        "items": _stored(_by_time(_items(spark, sf_dir), "shipping_limit_date", runs, 2), "items"),
+        "orders": _stored(_by_time(_orders(spark, sf_dir), "order_purchase_timestamp", runs, 2), "orders")}
+    fact = BoundedFact(spark, f"{root}/state", max_gap=MAX_GAP, lateness=LATENESS)
+    for run in range(runs):
+        for name, df in inputs.items():
+            df.filter(F.col("__run") == run).drop("__run").write.parquet(f"{paths[name]}/b{run:012d}")
+        fact.run(paths["items"], paths["orders"])
+    customers = sized_broadcast(gold.dim_customers(_history(spark, sf_dir)))
+    products = sized_broadcast(gold.dim_products(_products(spark, sf_dir)))
+    return edge(gold.with_dimensions(fact.joined(), customers, products))
+
+
+def q_items_by_hot_product_stream(spark, sf_dir):
+    """Items joined with products, both as streams, a third of the items under one product: the hot product's
+    join state is spread by salts that an earlier snapshot gives."""
+    root = scratch_dir(spark, "hot-stream")
+    hot = F.col("order_id").cast("long") % 3 == 0
+    items = _stored(_items(spark, sf_dir).select(
+        "order_id", "order_item_id", F.when(hot, "1").otherwise(F.col("product_id")).alias("product_id")), "items")
+    earlier = items.filter(F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0)
+    salts = sized_broadcast(salt_table(earlier, ["product_id"], min_rows=max(1, earlier.count() // 24)))
+    products = _products(spark, sf_dir).select("product_id", "product_category_name")
+    joined = join_by_salts(_stream_files(items, f"{root}/items", 3), _stream_files(products, f"{root}/products", 3),
+                           ["product_id"], salts)
+    run_once(append_stream(joined, f"{root}/out", f"{root}/_chk"))
+    return read_snapshot(spark, f"{root}/out")
 
 
 def q_fct_order_items_unmatched(spark, sf_dir):
@@ -348,10 +397,10 @@ def q_fct_order_items_unmatched(spark, sf_dir):
 
 
 def q_items_by_product_salted(spark, sf_dir):
-    """Items with their product's category, each hot product spread over several tasks."""
+    """Items with their product's category; a product with over a 64th of the items is spread over tasks."""
     items = _items(spark, sf_dir).select("order_id", "order_item_id", "product_id")
     products = _products(spark, sf_dir).select("product_id", "product_category_name")
-    return salted_join(items, products, ["product_id"], how="left", min_rows=20)
+    return salted_join(items, products, ["product_id"], how="left", min_rows=max(1, items.count() // 64))
 
 
 def q_customers_scd2_incremental(spark, sf_dir):
@@ -392,18 +441,20 @@ def q_runner_incremental(spark, sf_dir):
                 part = feed.filter(F.lit(not second))
             write_csv_feed(part, f"{landing}/{ENTITIES[name].source_dir}")
         store, _ = run_layers(spark, landing, f"{root}/tables")
-    return edge(current_snapshot(spark, store.path("gold", "fct_order_items")))
+    return edge(BucketTable(spark, store.path("gold", "fct_order_items"), ["order_id"]).read())
 
 
 # -- tables, schemas, metadata ---------------------------------------------------------------
 
 def q_table_properties(spark, sf_dir):
-    """Properties and comments as the catalog has them, for tables over stored clean data."""
+    """Properties and comments as the catalog has them: tables over stored clean data, and a history that is
+    declared before anything was written to it."""
     root = scratch_dir(spark, "catalog")
     store = TableStore(root, database="strata_props")
     datasets = {
         ("silver", "silver_orders"): (_orders(spark, sf_dir), ENTITIES["orders"].table_properties("silver")),
         ("silver", "silver_products"): (_products(spark, sf_dir), ENTITIES["products"].table_properties("silver")),
+        ("silver", "silver_customers"): (None, ENTITIES["customers"].table_properties("silver")),
         ("gold", "dim_products"): (
             gold.dim_products(_products(spark, sf_dir)),
             table_properties("gold", GOLD_DOMAINS["dim_products"], "product_id")),
@@ -412,8 +463,9 @@ def q_table_properties(spark, sf_dir):
     }
     rows = []
     for (layer, name), (df, props) in datasets.items():
-        edge(df).write.parquet(store.path(layer, name))
-        store.declare(spark, layer, name, props, f"Table {name}")
+        if df is not None:
+            edge(df).write.parquet(store.path(layer, name))
+        store.declare(spark, layer, name, props, f"Table {name}", schema=declared_schema(name))
         info = store.describe(spark, layer, name)
         place = info["path"].removeprefix(root).strip("/")
         n = spark.table(store.table(layer, name)).count()
@@ -423,17 +475,60 @@ def q_table_properties(spark, sf_dir):
               "property_value string, n_rows long")
 
 
-def q_clustered_ranges(spark, sf_dir):
-    """A clustered write of the orders: rows, and pairs of neighbouring files whose key ranges
-    overlap by more than a shared bound."""
-    path = f"{scratch_dir(spark, 'clustered')}/orders"
-    orders = _orders(spark, sf_dir).select("order_id", "customer_id", "order_status")
-    write_clustered(orders, path, "order_id", num_files=8)
-    files = read_snapshot(spark, path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
-        F.min("order_id").alias("low"), F.max("order_id").alias("high"), F.count("*").alias("n"))
-    in_order = Window.partitionBy(F.lit(0)).orderBy("low", "high")  # one row per file
+def _file_ranges(spark, store: TableStore, layer: str, name: str, key: str) -> DataFrame:
+    """Rows of a table of batch folders, and pairs of neighbouring files of a batch whose key ranges overlap
+    by more than a shared bound."""
+    files = read_snapshot(spark, store.path(layer, name)).select(F.col("_metadata.file_path").alias("f"), key).groupBy(
+        "f").agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
+    batch = F.element_at(F.split("f", "/"), -2)
+    in_order = Window.partitionBy(batch).orderBy("low", "high")  # one row per file
     return files.withColumn("before", F.lag("high").over(in_order)).agg(
-        F.sum("n").alias("n_rows"), F.count_if(F.col("before") > F.col("low")).alias("n_overlaps"))
+        F.sum("n").alias("n_rows"), F.count_if(F.col("before") > F.col("low")).alias("n_overlaps")).select(
+        F.lit(name).alias("table_name"), "n_rows", "n_overlaps")
+
+
+def q_clustered_ranges(spark, sf_dir):
+    """Key ranges of the files that the append sinks write: raw orders from two deliveries, clean orders from
+    four batches, and the clean orders again after their batches were merged."""
+    root = scratch_dir(spark, "clustered")
+    store, report = TableStore(f"{root}/tables", database="strata_clustered"), RunReport()
+    ent = ENTITIES["orders"]
+    feed, first = _stage_feed(spark, sf_dir, "orders", root)
+    for part in (feed.filter(first), feed.filter(~first)):
+        write_csv_feed(part, f"{root}/landing/{ent.source_dir}")
+        ingest(spark, ent, f"{root}/landing", store)
+    stream = _stream_files(feed, f"{root}/raw", 4)
+    silver_stream(spark, store, "silver_orders", silver.silver_orders(stream, apply_rules=False), "orders", report)
+    ranges = [("bronze", "bronze_orders"), ("silver", "silver_orders")]
+    out = [_stored(_file_ranges(spark, store, *t, "order_id"), "ranges") for t in ranges]
+    merge_batches(spark, store.path("silver", "silver_orders"), "order_id", more_than=1)
+    out.append(_file_ranges(spark, store, "silver", "silver_orders", "order_id").withColumn(
+        "table_name", F.lit("silver_orders_merged")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def q_schema_check(spark, sf_dir):
+    """Every dataset against its declared schema: columns that are missing, extra or of another type."""
+    datasets = {
+        "silver_orders": _orders(spark, sf_dir),
+        "silver_order_items": _items(spark, sf_dir),
+        "silver_customers_preprocessed": silver.silver_customers_preprocessed(_customer_feed(spark, sf_dir)),
+        "silver_product_category": _category(spark, sf_dir),
+        "silver_products": _products(spark, sf_dir),
+        "silver_customers": _history(spark, sf_dir),
+        "dim_customers": gold.dim_customers(_history(spark, sf_dir)),
+        "dim_products": gold.dim_products(_products(spark, sf_dir)),
+        "fct_order_items": _fact(spark, sf_dir),
+    }
+    out = None
+    for name, df in datasets.items():
+        df = edge(df)
+        wrong = quality.schema_mismatches(df.schema, declared_schema(name))
+        rows = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("dataset"), "n_rows", F.lit(len(df.columns)).alias("n_columns"),
+            F.lit(len(wrong)).alias("n_mismatches"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_dataset_schemas(spark, sf_dir):
@@ -505,10 +600,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fct_order_items_bounded": q_fct_order_items_bounded,
         "fct_order_items_unmatched": q_fct_order_items_unmatched,
         "items_by_product_salted": q_items_by_product_salted,
+        "items_by_hot_product_stream": q_items_by_hot_product_stream,
         "runner_incremental": q_runner_incremental,
         "table_properties": q_table_properties,
         "clustered_ranges": q_clustered_ranges,
         "dataset_schemas": q_dataset_schemas,
+        "schema_check": q_schema_check,
+        "silver_products_late_names": q_silver_products_late_names,
         "location_strict": q_location_strict,
         "processing_stamps": q_processing_stamps,
     })

@@ -1,23 +1,23 @@
-"""Stored layer tables: parquet folders under one base path per layer.
-
-* ``read_stream`` / ``read_snapshot``: a table as a stream of appended rows, or as a
-  batch snapshot.
-* ``append_stream``: the append sink of a streaming table, run once over everything
-  new (``availableNow``), with its own checkpoint.
-* ``write_clustered``: rows range-partitioned and sorted by the clustering key, so the
-  parquet min/max statistics of each file cover a narrow key range and key filters
-  skip files.
-* ``write_version`` / ``read_version``: a table that is replaced as a whole. Each version
-  is a new folder and a small pointer file names the current one, so readers never see a
-  hole and a failed job leaves the old version in place.
-* ``TableStore``: names → paths; properties and comments are stored in the session's
-  catalog as an external table over the folder.
+"""Stored layer tables: Parquet folders under one base path per layer.
+
+* ``write_batch`` / ``append_batches``: the append sink of a streaming table. A micro-batch is one
+  folder, range-partitioned and sorted by the clustering key, so the min/max statistics of its files
+  cover narrow key ranges and key filters skip files. A replayed batch overwrites its own folder.
+* ``merge_batches``: many small batch folders become one clustered folder.
+* ``read_stream`` / ``read_snapshot``: such a table as a stream of new batches, or all its rows.
+* ``append_stream``: Spark's plain file sink, run once over everything new (``availableNow``).
+* ``write_clustered``: any table in the clustered layout.
+* ``TableStore``: names to paths; properties and comments are stored in the session's catalog as an
+  external table over the folder.
+
+Tables that are changed in place are in ``strata.sources.buckets``.
 """
 
 from __future__ import annotations
 
-import json
 import math
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +28,6 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.session import hadoop_fs
 from strata.sources.csv_feed import MAX_BYTES_PER_TRIGGER
 
-#: Bytes of rows (as text, before compression) that a clustered file aims at.
-FILE_BYTES = 512 * 1024 * 1024
-
 
 def _sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -52,6 +49,9 @@ class TableStore:
     def checkpoint(self, layer: str, name: str) -> str:
         return f"{self.base.rstrip('/')}/_checkpoints/{self.layers[layer]}/{name}"
 
+    def counts(self, layer: str, name: str) -> str:
+        return f"{self.base.rstrip('/')}/_counts/{self.layers[layer]}/{name}"
+
     def table(self, layer: str, name: str) -> str:
         return f"`{self.database}_{self.layers[layer]}`.`{name}`"
 
@@ -68,14 +68,16 @@ class TableStore:
         schema is the stored one unless given (then the folder may still be empty)."""
         path = self.path(layer, name)
         if schema is None:
-            schema = current_snapshot(spark, path).schema
+            schema = read_snapshot(spark, path).schema
+        hadoop_path, fs = hadoop_fs(spark, path)
+        fs.mkdirs(hadoop_path)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in sorted((properties or {}).items()))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}_{self.layers[layer]}`")
         spark.sql(f"DROP TABLE IF EXISTS {self.table(layer, name)}")  # external: the data stay
         spark.sql(
             f"CREATE TABLE {self.table(layer, name)} ({columns}) USING parquet "
-            f"LOCATION {_sql_text(current_path(spark, path))} COMMENT {_sql_text(comment)} "
+            f"OPTIONS (recursiveFileLookup 'true') LOCATION {_sql_text(path)} COMMENT {_sql_text(comment)} "
             + (f"TBLPROPERTIES ({pairs})" if pairs else ""))
         return path
 
@@ -84,16 +86,17 @@ class TableStore:
         spark: SparkSession,
         layer: str,
         name: str,
-        folders: list[str],
+        folder: str,
+        columns: list[str],
         properties: dict[str, str],
         comment: str = "",
     ) -> None:
-        """Register a table that lives in several folders as a view, with its properties."""
+        """Register the ``columns`` of a folder with partitions as a view, with its properties."""
         pairs = ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in sorted(properties.items()))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}_{self.layers[layer]}`")
-        body = " UNION ALL ".join(f"SELECT * FROM parquet.`{f}`" for f in folders)
+        names = ", ".join(f"`{c}`" for c in columns)
         spark.sql(f"CREATE OR REPLACE VIEW {self.table(layer, name)} COMMENT {_sql_text(comment)} "
-                  f"TBLPROPERTIES ({pairs}) AS {body}")
+                  f"TBLPROPERTIES ({pairs}) AS SELECT {names} FROM parquet.`{folder}`")
 
     def properties(self, spark: SparkSession, layer: str, name: str) -> dict[str, str]:
         return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {self.table(layer, name)}").collect()}
@@ -110,8 +113,40 @@ class TableStore:
         }
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+# -- batch folders ---------------------------------------------------------------------------
+
+_BATCH, _MERGED = re.compile(r"b(\d{12})"), re.compile(r"m(\d{12})")
+
+
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/b{batch_id:012d}"
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a Spark job has written ``folder`` to its end (Spark's own marker file)."""
+    return "_SUCCESS" in list_names(spark, folder)
+
+
+def table_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders with the rows of a table of batch folders: the latest merged one and the batches after
+    it. A folder whose job did not end is left out: its batch will be replayed. ``path`` itself for a
+    table without batch folders."""
+    names = list_names(spark, path)
+    if not any(_BATCH.fullmatch(n) or _MERGED.fullmatch(n) for n in names):
+        return [path]
+    merged = [n for n in names if _MERGED.fullmatch(n) and is_complete(spark, f"{path}/{n}")]
+    upto = int(merged[-1][1:]) if merged else -1
+    batches = [n for n in names if _BATCH.fullmatch(n) and int(n[1:]) > upto and is_complete(spark, f"{path}/{n}")]
+    return [f"{path.rstrip('/')}/{n}" for n in [*merged[-1:], *batches]]
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of a stored table."""
+    folders = table_folders(spark, path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if not folders and schema is not None:
+        return spark.createDataFrame([], schema)
+    return reader.parquet(*folders)
 
 
 def read_stream(
@@ -120,11 +155,12 @@ def read_stream(
     schema: T.StructType | None = None,
     max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER,
 ) -> DataFrame:
-    """New rows of a stored table as a stream (schema taken from the table if omitted), in
-    micro-batches of bounded size."""
+    """New batches of a table of batch folders as a stream (schema taken from the table if omitted), in
+    micro-batches of bounded size. Merged folders hold no new rows and are not looked at."""
     if schema is None:
-        schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(path)
+        schema = read_snapshot(spark, path).schema
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes_per_trigger)).parquet(
+        f"{path.rstrip('/')}/b*")
 
 
 def stream_in_batches(spark: SparkSession, path: str, batches: int) -> DataFrame:
@@ -134,16 +170,78 @@ def stream_in_batches(spark: SparkSession, path: str, batches: int) -> DataFrame
     return spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
+def drain(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Give every new micro-batch of ``stream`` to ``each(batch, batch_id)`` and block until all are done
+    (``availableNow``). ``each`` must end the same way when it gets a batch again after a failure."""
+    return run_once(
+        stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        .foreachBatch(each).start())
+
+
+def clustered(df: DataFrame, *cluster_by: str, num_files: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``cluster_by``.
+
+    A row hash is the last range column, so a key that holds a large share of the rows is split over
+    several partitions (each with min = max = that key) instead of one task. Without ``num_files`` the
+    adaptive execution merges neighbouring partitions to its advisory size once it knows their bytes, so
+    the number of files follows the data without a pass that measures them."""
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    by = [*cluster_by, "__spread"]
+    df = df.withColumn("__spread", spread)
+    df = df.repartitionByRange(num_files, *by) if num_files else df.repartitionByRange(*by)
+    return df.sortWithinPartitions(*cluster_by).drop("__spread")
+
+
+def write_batch(batch: DataFrame, path: str, batch_id: int, cluster_by: str) -> None:
+    """One micro-batch as its own clustered folder; a replay overwrites it."""
+    clustered(batch, cluster_by).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+
+def append_batches(
+    stream: DataFrame, path: str, checkpoint: str, cluster_by: str,
+    first: Callable[[DataFrame, int], DataFrame] | None = None,
+    then: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """Append every new row of ``stream`` to the table at ``path`` once, each batch clustered.
+    ``first(batch, batch_id)`` may look at a batch and give what is to be stored; ``then(batch_id)`` runs
+    when it is."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(first(batch, batch_id) if first else batch, path, batch_id, cluster_by)
+        if then:
+            then(batch_id)
+
+    return drain(stream, checkpoint, each)
+
+
+def merge_batches(spark: SparkSession, path: str, cluster_by: str, more_than: int = 32) -> bool:
+    """Merge the folders of a table into one clustered folder if there are more than ``more_than`` of them;
+    whether it was done. Only for tables whose readers have seen all batches. Readers of the table see the
+    old folders until the merged one is complete; what it replaces is deleted afterwards, by the next call
+    if this one dies before."""
+    folders = table_folders(spark, path)
+    last = max((int(f.rsplit("/", 1)[1][1:]) for f in folders if f != path), default=-1)
+    merge = folders != [path] and len(folders) > more_than
+    if merge:
+        clustered(spark.read.parquet(*folders), cluster_by).write.mode("overwrite").parquet(f"{path}/m{last:012d}")
+    held = {f.rsplit("/", 1)[1] for f in table_folders(spark, path)}
+    merged = max((int(n[1:]) for n in held if _MERGED.fullmatch(n)), default=-1)
+    for name in list_names(spark, path):
+        known = _BATCH.fullmatch(name) or _MERGED.fullmatch(name)
+        if known and name not in held and int(name[1:]) <= merged:
+            remove(spark, f"{path}/{name}")
+    return merge
+
+
 def append_stream(
     df: DataFrame,
     path: str,
     checkpoint: str,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Append every new row of ``df`` to the parquet table at ``path`` once.
+    """Append every new row of ``df`` to the Parquet table at ``path`` once, by Spark's file sink.
 
-    The file sink logs committed files under ``_spark_metadata``, so a batch replayed
-    after a failure is not written twice and readers never see half a batch.
+    The sink logs committed files under ``_spark_metadata``, so a batch replayed after a failure is not
+    written twice and readers never see half a batch.
     """
     writer = (
         df.writeStream.option("checkpointLocation", checkpoint)
@@ -164,103 +262,26 @@ def run_once(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """Bytes of all rows as text, measured in one aggregate."""
-    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
-
-
 def write_clustered(
-    df: DataFrame,
-    path: str,
-    cluster_by: str,
-    num_files: int | None = None,
-    mode: str = "overwrite",
+    df: DataFrame, path: str, cluster_by: str, num_files: int | None = None, mode: str = "overwrite",
 ) -> None:
-    """Write ``df`` range-partitioned and sorted on ``cluster_by``.
-
-    Each output file then holds a narrow, non-overlapping key range, which is what
-    lets parquet min/max statistics skip files on key predicates. A row hash is the
-    second range column, so a key holding a large share of the rows is split over
-    several files (each with min = max = that key) instead of one task. The number of
-    files follows the measured bytes unless given.
-    """
-    if num_files is None:
-        num_files = max(1, math.ceil(stored_bytes(df) / FILE_BYTES))
-    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__spread")
-    (
-        df.withColumn("__spread", spread)
-        .repartitionByRange(num_files, cluster_by, "__spread")
-        .sortWithinPartitions(cluster_by)
-        .drop("__spread")
-        .write.mode(mode)
-        .parquet(path)
-    )
-
-
-# -- small files through Hadoop's file system ------------------------------------------
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """Text of a small file; None only if the file does not exist. Any other error is raised."""
-    hadoop_path, fs = hadoop_fs(spark, path)
-    if not fs.exists(hadoop_path):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(hadoop_path)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    """Write ``df`` in the clustered layout (see ``clustered``)."""
+    clustered(df, cluster_by, num_files=num_files).write.mode(mode).parquet(path)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file: under another name first, then renamed, so it appears whole."""
-    hadoop_path, fs = hadoop_fs(spark, path)
-    part, _ = hadoop_fs(spark, f"{path}.part")
-    stream = fs.create(part, True)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    if fs.exists(hadoop_path):
-        fs.delete(hadoop_path, False)
-    if not fs.rename(part, hadoop_path):
-        raise OSError(f"could not rename {path}.part")
+# -- folders through Hadoop's file system -----------------------------------------------------
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, sorted; none if it does not exist."""
+    """Names in a folder, sorted; none if it does not exist. Any other error is raised."""
     hadoop_path, fs = hadoop_fs(spark, path)
     if not fs.exists(hadoop_path):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))
 
 
-# -- versioned tables ---------------------------------------------------------------------
-
-
-def _pointers(path: str) -> str:
-    return f"{path.rstrip('/')}/_current"
-
-
-def current_path(spark: SparkSession, path: str) -> str:
-    """Folder of the current version, or ``path`` itself for a table without versions."""
-    names = [n for n in list_names(spark, _pointers(path)) if n.isdigit()]
-    if not names:
-        return path
-    return json.loads(read_text(spark, f"{_pointers(path)}/{names[-1]}"))["path"]
-
-
-def current_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return read_snapshot(spark, current_path(spark, path))
-
-
-def replace_clustered(df: DataFrame, path: str, cluster_by: str, num_files: int | None = None) -> None:
-    """Write a new version of the table at ``path`` and switch to it. The pointer is a new,
-    whole file per version, so a reader sees the old or the new version, never neither."""
-    spark = df.sparkSession
-    names = [n for n in list_names(spark, _pointers(path)) if n.isdigit()]
-    version = int(names[-1]) + 1 if names else 0
-    folder = f"{path.rstrip('/')}/v{version:012d}"
-    write_clustered(df, folder, cluster_by, num_files)
-    write_text(spark, f"{_pointers(path)}/{version:012d}", json.dumps({"path": folder}))
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds."""
+    hadoop_path, fs = hadoop_fs(spark, path)
+    if fs.exists(hadoop_path) and not fs.delete(hadoop_path, True):
+        raise OSError(f"could not delete {path}")

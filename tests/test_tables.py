@@ -1,4 +1,5 @@
 import glob
+import os
 
 import pyarrow.parquet as pq
 import pytest
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 from strata.config import ENTITIES
 from strata.operators.quality import schema_mismatches
 from strata.sources.tables import (
-    TableStore, current_snapshot, list_names, read_snapshot, read_text, replace_clustered,
-    write_clustered, write_text,
+    TableStore, batch_folder, drain, list_names, merge_batches, read_snapshot, read_stream, remove,
+    write_batch, write_clustered,
 )
 
 
@@ -53,24 +54,58 @@ def test_table_store_catalog(spark, scratch):
     assert schema_mismatches(ent.raw_schema(), ent.raw_schema()) == []
 
 
-def test_versions_are_switched_whole(spark, scratch):
-    path = scratch("versions") + "/t"
-    replace_clustered(spark.range(10).withColumnRenamed("id", "k"), path, "k")
-    first = current_snapshot(spark, path)
-    replace_clustered(spark.range(25).withColumnRenamed("id", "k"), path, "k")
-    assert first.count() == 10  # the old version can still be read
-    assert current_snapshot(spark, path).count() == 25
-    with pytest.raises(Exception):
-        replace_clustered(spark.range(5).select(F.raise_error(F.lit("stop")).alias("k")), path, "k")
-    assert current_snapshot(spark, path).count() == 25  # a failed job changes nothing
-
-
-def test_small_files(spark, scratch):
-    root = scratch("small")
-    assert read_text(spark, f"{root}/none") is None and list_names(spark, f"{root}/none") == []
-    write_text(spark, f"{root}/a", "é 1")
-    write_text(spark, f"{root}/a", "é 2")
-    assert read_text(spark, f"{root}/a") == "é 2" and list_names(spark, root) == ["a"]
+def test_batches_are_clustered_and_merged(spark, scratch):
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"  # such small files would become one
+    spark.conf.set(merged, "false")
+    try:
+        _clustered_and_merged(spark, scratch)
+    finally:
+        spark.conf.set(merged, "true")
+
+
+def _clustered_and_merged(spark, scratch):
+    path, out = scratch("batches") + "/t", scratch("batches-out")
+    schema = "k long, v string"
+    for i in range(5):
+        rows = spark.range(i * 10, i * 10 + 1000).select(((F.col("id") * 7919) % 1000).alias("k"), F.lit(str(i)).alias("v"))
+        write_batch(rows, path, i, "k")
+    write_batch(spark.range(1000).select(F.col("id").alias("k"), F.lit("4").alias("v")), path, 4, "k")  # a replay
+    whole = sorted(map(tuple, read_snapshot(spark, path).collect()))
+    assert len(whole) == 5000
+    for i in range(5):  # a key lies in one file of each batch
+        ranges = _ranges(batch_folder(path, i))
+        assert sum(lo <= 500 <= hi for lo, hi in ranges) == 1 < len(ranges)
+
+    def read_new():
+        seen = []
+        drain(read_stream(spark, path, spark.createDataFrame([], schema).schema), f"{out}/_chk",
+              lambda batch, i: seen.append(batch.count()))
+        return sum(seen)
+
+    assert read_new() == 5000
+    assert not merge_batches(spark, path, "k", more_than=5) and merge_batches(spark, path, "k", more_than=3)
+    assert [n for n in list_names(spark, path)] == ["m000000000004"]
+    assert sorted(map(tuple, read_snapshot(spark, path).collect())) == whole
+    assert read_new() == 0  # merged rows are no new rows
+    write_batch(spark.createDataFrame([(1, "new")], schema), path, 5, "k")
+    assert read_new() == 1 and read_snapshot(spark, path).count() == 5001
+    # a merge that died before it deleted what it had merged, and a batch whose job did not end
+    write_batch(spark.createDataFrame([(1, "old")], schema), path, 3, "k")
+    os.makedirs(f"{path}/b000000000006")
+    spark.range(1).select(F.col("id").alias("k"), F.lit("half").alias("v")).write.parquet(f"{path}/b000000000006/part")
+    assert read_snapshot(spark, path).count() == 5001
+    merge_batches(spark, path, "k")
+    assert "b000000000003" not in list_names(spark, path) and "b000000000006" in list_names(spark, path)
+
+
+def test_names_of_a_folder(spark, scratch):
+    root = scratch("names")
+    assert list_names(spark, f"{root}/none") == []
+    remove(spark, f"{root}/none")
+    os.makedirs(f"{root}/a/b")
+    assert list_names(spark, root) == ["a"]
+    remove(spark, f"{root}/a")
+    assert list_names(spark, root) == []
 
 
 def test_scratch_needs_a_shared_folder_off_local_masters(monkeypatch):
