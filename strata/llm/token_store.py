@@ -128,12 +128,17 @@ def _tokenizer(path: str) -> ChunkTokenizer:
 _BLOCKS = "part int, block int, doc_ids array<long>, lengths array<long>, ids binary, counts binary"
 
 
-def token_blocks(docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of whole documents in ascending doc_id order; ids as little-endian integers."""
+def token_blocks(
+    docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_TOKENS, part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """Blocks of whole documents in ascending doc_id order; ids as little-endian integers.
+
+    A part has about ``part_bytes`` of text. The ranges go by doc_id and the beginning of the text, which keeps
+    the order and splits an id (or the null id) that many rows share."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = parts_for(text_bytes(docs), PART_BYTES)
-    dealt = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    parts = parts_for(text_bytes(docs), part_bytes)
+    dealt = docs.repartitionByRange(parts, "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     target = arrow_schema(_BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,12 +313,13 @@ _STORED = "part int, block int, n_tokens long, doc_ids array<long>, lengths arra
 
 def write_tokens(
     docs: DataFrame, path: str, scratch: str, tokenizer: str, end_id: int, block_tokens: int = BLOCK_TOKENS,
+    part_bytes: int = PART_BYTES,
 ) -> None:
     """Tokenise ``docs`` and write the store at ``path``; ``scratch`` holds the plain ids meanwhile."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
-    token_blocks(docs, tokenizer, end_id, block_tokens).write.parquet(scratch)
+    token_blocks(docs, tokenizer, end_id, block_tokens, part_bytes).write.option("compression", "zstd").parquet(scratch)
     blocks = spark.read.schema(_BLOCKS).parquet(scratch)
     dtype = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
     counted = _counts(blocks).orderBy("id").collect()  # the vocabulary at most
