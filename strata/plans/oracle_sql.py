@@ -436,6 +436,10 @@ SELECT CASE WHEN net > 0 THEN CASE WHEN had_old THEN 'update_postimage' ELSE 'in
   {CUSTOMER_COLS}, CAST(abs(net) AS BIGINT) AS n_copies
 FROM net JOIN flags ON customer_id IS NOT DISTINCT FROM fk"""
 
+    q["change_feed"] = q["snapshot_changes"]
+    q["pk_check_incremental"] = q["pk_check"]
+    q["fk_check_incremental"] = (
+        f"SELECT * FROM ({q['fk_check']}) WHERE relation IN ('order_items.product_id', 'products.product_category_name')")
     q["bronze_lineage"] = _with(CUST_BASE, CUSTOMERS_FEED) + (
         "SELECT 'customers.csv' AS source_folder, count(*) AS n_rows, "
         "CAST(0 AS BIGINT) AS n_corrupt FROM customers_feed")

@@ -30,6 +30,7 @@ from strata.sources.tables import (
     TableStore, append_stream, merge_batches, read_snapshot, read_stream, run_once, stream_in_batches,
 )
 from strata.streaming.bounded import BoundedFact
+from strata.streaming.key_checks import ForeignKey, KeySummary
 from strata.streaming.runner import RunReport, products_stream, run_layers, silver_stream
 from strata.streaming.scd2_incremental import IncrementalHistory
 
@@ -234,6 +235,68 @@ def q_snapshot_changes(spark, sf_dir):
     return edge(changes.snapshot_changes(before, after, ["customer_id"]))
 
 
+def q_change_feed(spark, sf_dir):
+    """The same changes as a feed that the customer dimension keeps: it is stored as of the first delivery, then
+    the buckets of the customers that changed later are rewritten, and only these are compared."""
+    root = scratch_dir(spark, "change-feed")
+    history = _stored(_history(spark, sf_dir), "history")
+    first = F.to_timestamp(F.lit(feeds.CUSTOMER_BATCHES[0]))
+    before = scd2.as_of(history, first).select(*gold.CUSTOMER_DIM_COLUMNS)
+    after = scd2.current_rows(history).select(*gold.CUSTOMER_DIM_COLUMNS)
+    BucketTable(spark, f"{root}/dim", ["customer_id"]).replace(before, [], "first")
+    dim = BucketTable(spark, f"{root}/dim", ["customer_id"], feed=f"{root}/feed")
+    later = history.filter(F.col(scd2.START) > first)
+    hit = dim.hit(later)
+    dim.replace(after.filter(dim.bucket().isin(hit)), hit, "later")
+    return edge(dim.changes().drop("change"))
+
+
+def _two_deliveries(df: DataFrame, keys: list[str]) -> list[DataFrame]:
+    first = F.pmod(F.xxhash64(*df.columns), F.lit(3)) > 0
+    stored = _stored(df, "deliveries")
+    return [stored.filter(first).select(*keys), stored.filter(~first).select(*keys)]
+
+
+def q_pk_check_incremental(spark, sf_dir):
+    """The primary-key check kept by key summaries, over two deliveries of every dataset."""
+    root = scratch_dir(spark, "pk-summaries")
+    checks = [
+        ("silver_orders", _orders(spark, sf_dir), ["order_id"]),
+        ("silver_order_items", _items(spark, sf_dir), ["order_id", "order_item_id"]),
+        ("silver_product_category", _category(spark, sf_dir), ["product_category_name"]),
+        ("dim_customers", gold.dim_customers(_history(spark, sf_dir)), ["customer_id"]),
+        ("dim_products", gold.dim_products(_products(spark, sf_dir)), ["product_id"]),
+    ]
+    out = None
+    for name, df, keys in checks:
+        summary = KeySummary(spark, f"{root}/{name}", keys)
+        for n, rows in enumerate(_two_deliveries(df, keys)):
+            summary.add(rows, f"d{n}")
+        v = summary.violations().select(F.lit(name).alias("dataset"), _key_text(keys), "n_rows")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+def q_fk_check_incremental(spark, sf_dir):
+    """Two of the foreign-key checks kept by key summaries, children and parents in two deliveries each."""
+    root = scratch_dir(spark, "fk-summaries")
+    products = _stored(_products(spark, sf_dir), "products")
+    checks = [
+        ("order_items.product_id", _items(spark, sf_dir), products, "product_id"),
+        ("products.product_category_name", products, _category(spark, sf_dir), "product_category_name"),
+    ]
+    out = None
+    for name, child, parent, key in checks:
+        sides = [KeySummary(spark, f"{root}/{name}/{side}", [key]) for side in ("child", "parent")]
+        relation = ForeignKey(spark, f"{root}/{name}/orphans", *sides)
+        for n, rows in enumerate(zip(_two_deliveries(child, [key]), _two_deliveries(parent, [key]))):
+            hit = {b for summary, new in zip(sides, rows) for b in summary.add(new, f"d{n}")}
+            relation.refresh(sorted(hit), f"d{n}")
+        o = relation.orphans().select(F.lit(name).alias("relation"), _key_text([key]), "n_rows")
+        out = o if out is None else out.unionByName(o)
+    return out
+
+
 # -- streaming forms --------------------------------------------------------------------
 
 def _stage_feed(spark: SparkSession, sf_dir: str, entity: str, root: str) -> tuple[DataFrame, object]:
@@ -592,6 +655,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fct_orders": q_fct_orders,
         "dq_metrics": q_dq_metrics,
         "snapshot_changes": q_snapshot_changes,
+        "change_feed": q_change_feed,
+        "pk_check_incremental": q_pk_check_incremental,
+        "fk_check_incremental": q_fk_check_incremental,
         "pk_check": q_pk_check,
         "fk_check": q_fk_check,
         "late_by_day": q_late_by_day,
