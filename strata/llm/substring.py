@@ -292,7 +292,17 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     n_blocks = _prime_from(parts_for(n_bytes, BLOCK_BYTES, 2))
     packed = map_rows(docs, _hash_rows(size, n_shards, n_blocks), "shard long, n long, blob binary",
                       slice_bytes=SLICE_BYTES)
-    confirmed = packed.groupBy("shard").applyInArrow(_confirm(n_blocks), "block long, n long, blob binary")
-    dealt = docs.withColumn("block", F.coalesce(
-        F.expr(f"pmod(doc_id, {n_blocks})"), F.expr(f"pmod(xxhash64(text), {n_blocks})")))
-    return dealt.groupBy("block").cogroup(confirmed.groupBy("block")).applyInArrow(_remove(size), _OUT)
+    # Dealt out over as many partitions as there are shards and blocks, however many the session's default is.
+    confirmed = packed.repartition(n_shards, "shard").groupBy("shard").applyInArrow(
+        _confirm(n_blocks), "block long, n long, blob binary").repartition(n_blocks, "block")
+    known = docs.filter("doc_id IS NOT NULL").withColumn("block", F.expr(f"pmod(doc_id, {n_blocks})"))
+    kept = known.repartition(n_blocks, "block").groupBy("block").cogroup(confirmed.groupBy("block")).applyInArrow(
+        _remove(size), _OUT)
+    # Rows without an id are not later than any document: nothing is removed, nobody waits for them.
+    return kept.unionByName(map_rows(docs.filter("doc_id IS NULL"), _untouched, _OUT))
+
+
+def _untouched(rows: dict[str, list]) -> dict[str, list]:
+    words = [blank_words(t) for t in rows["text"]]
+    return {"doc_id": rows["doc_id"], "n_words": [len(w) for w in words], "n_removed": [0] * len(words),
+            "kept_sha256": [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]}
