@@ -121,8 +121,9 @@ def quality_scores(
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     stats = stage(with_stats(docs), "stats")
     marked = labelled_sample(labels, "quality", crc_fold("doc_id", 4) != 2, label_rows)
-    known = stats.join(marked, "doc_id").select("doc_id", "label", *FEATURES).dropDuplicates(
-        ["doc_id"]).orderBy("doc_id").limit(label_rows).toPandas()
+    # label_rows documents at most, so they go to the statistics; of rows that share an id the least counts.
+    known = stats.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct(*FEATURES)).alias("own")).select("doc_id", "label", "own.*").orderBy("doc_id").toPandas()
     rules, base, weights = train(known[FEATURES].to_numpy(float), known["label"].to_numpy(float), seed=seed)
     score = compile_score(rules, base, weights, FEATURES)
     return stats.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), score.alias("score")).withColumn(
