@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import Shared, crc_fold, map_rows
 
 #: Labelled rows per class, and hashed features.
-CLASS_ROWS, SPACE = 4000, 1 << 20
+CLASS_ROWS, MAX_SENTENCES, SPACE = 4000, 64, 1 << 20
 
 #: Terms that name groups of people, by the kind of group; swapped within a kind.
 IDENTITY_TERMS = {
@@ -69,6 +69,10 @@ def swap(sentence: str, pick: int) -> tuple[list[str], list[str]]:
     return found, new
 
 
+def _pick(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+
+
 def _sample(docs: DataFrame, labels: DataFrame, learns: F.Column, per_class: int) -> tuple[DataFrame, dict[int, int]]:
     """(doc_id, label) of up to ``per_class`` documents of each class by a hash of the id, and how
     many labelled documents each class has."""
@@ -81,22 +85,27 @@ def _sample(docs: DataFrame, labels: DataFrame, learns: F.Column, per_class: int
     return picks[0].unionByName(picks[1]), counts
 
 
-def _training_rows(docs: DataFrame, marked: DataFrame) -> DataFrame:
+def _training_rows(docs: DataFrame, marked: DataFrame, max_sentences: int = MAX_SENTENCES) -> DataFrame:
     """Features of the sampled documents, and the features that each swap removes and adds: one swap
-    for every sentence that names a group."""
+    for every sentence that names a group, for the ``max_sentences`` of a document with the smallest hashes
+    if it has more. What a swap takes and gives follows from the sentence alone. Of rows that share an id the
+    text with the smallest hash counts."""
     def run(rows: dict[str, list]) -> dict[str, list]:
         own, gone, new = [], [], []
         packed = lambda fs: np.array(fs, "<i4").tobytes()
-        for doc, text in zip(rows["doc_id"], rows["text"]):
+        for text in rows["text"]:
             own.append(packed(sorted({f for w in words(text) for f in features(w)})))
             sentences = [s for s in _SENTENCE.split((text or "").lower()) if s.strip()]
             named = [s for s in sentences if any(t in _KIND for t in words(s))]
-            swaps = [swap(s, doc + k) for k, s in enumerate(named or [""])]
+            if len(named) > max_sentences:
+                named = sorted(named, key=lambda s: (_pick(s), s))[:max_sentences]
+            swaps = [swap(s, _pick(s)) for s in named] or [swap("", _pick(text or ""))]
             gone.append([packed([f for w in old for f in features(w)]) for old, _ in swaps])
             new.append([packed([f for w in fresh for f in features(w)]) for _, fresh in swaps])
         return {"doc_id": rows["doc_id"], "label": rows["label"], "own": own, "gone": gone, "new": new}
 
-    joined = docs.join(F.broadcast(marked), "doc_id").dropDuplicates(["doc_id"])
+    joined = docs.join(F.broadcast(marked), "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
     return map_rows(joined.select("doc_id", "label", "text"), run,
                     "doc_id long, label int, own binary, gone array<binary>, new array<binary>")
 
@@ -184,11 +193,13 @@ class Scorer:
 
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, per_class: int = CLASS_ROWS, counterfactual: float = 1.0,
+    max_sentences: int = MAX_SENTENCES,
 ) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``."""
+    """doc_id, held_out, score, predicted for every row of ``docs``. The model is fitted on up to ``per_class``
+    labelled documents of each class and ``max_sentences`` swapped sentences of each document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked, counts = _sample(docs, labels, crc_fold("doc_id", 5) != 0, per_class)
-    known = sorted(_training_rows(docs, marked).collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows
+    known = sorted(_training_rows(docs, marked, max_sentences).collect(), key=lambda r: r["doc_id"])  # 2 * per_class rows
     prior = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     own = [np.frombuffer(r["own"], "<i4") for r in known]
     gone, new = ([np.frombuffer(x, "<i4") for r in known for x in r[c]] for c in ("gone", "new"))
