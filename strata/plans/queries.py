@@ -33,6 +33,7 @@ from strata.streaming.bounded import BoundedFact
 from strata.streaming.key_checks import ForeignKey, KeySummary
 from strata.streaming.runner import RunReport, products_stream, run_layers, silver_stream
 from strata.streaming.scd2_incremental import IncrementalHistory
+from strata.streaming.star import Stored
 
 #: Time bound of the bounded streaming fact, and the lateness its watermarks allow.
 MAX_GAP, LATENESS = "60 days", "30 days"
@@ -383,7 +384,7 @@ def q_silver_products_late_names(spark, sf_dir):
     for run, (products, names) in enumerate(((first, known), (~first, ~known))):
         feed.filter(products).write.parquet(f"{raw}/b{run:012d}")
         category.filter(names).write.parquet(f"{lookup}/b{run:012d}")
-        table = products_stream(spark, store, read_stream(spark, raw), read_stream(spark, lookup), RunReport())
+        table = products_stream(spark, store, read_stream(spark, raw), Stored(spark, lookup, category.schema), RunReport())
     return edge(table.read())
 
 
