@@ -295,14 +295,19 @@ def decode_block(payload: bytes, table: Frequencies) -> np.ndarray:
 
 
 def _counts(blocks: DataFrame) -> DataFrame:
-    """(id, n) over all parts; reads nothing but their rows of counts."""
+    """(id, n) over all parts; reads nothing but their rows of counts, and a task gives each id once."""
     target = arrow_schema("id int, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for packed in batch.column("counts").to_pylist():
                 used, n = np.frombuffer(packed, "<i8").reshape(2, -1)
-                yield to_batch({"id": used.astype(np.int32), "n": n}, target)
+                if used[-1] >= len(total):
+                    total = np.pad(total, (0, int(used[-1]) + 1 - len(total)))
+                total[used] += n
+        used = np.flatnonzero(total)
+        yield to_batch({"id": used.astype(np.int32), "n": total[used]}, target)
 
     return blocks.filter("block = -1").select("counts").mapInArrow(run, "id int, n long").groupBy("id").agg(
         F.sum("n").alias("n"))
