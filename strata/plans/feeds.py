@@ -87,8 +87,8 @@ def order_items_feed(lineitem: DataFrame) -> DataFrame:
 
 
 def _customer_base(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    nr = nation.join(sized_broadcast(region, stored=True), F.col("n_regionkey") == F.col("r_regionkey"))
-    return customer.join(sized_broadcast(nr), F.col("c_nationkey") == F.col("n_nationkey"))
+    return customer.join(sized_broadcast(nation, stored=True), F.col("c_nationkey") == F.col("n_nationkey")).join(
+        sized_broadcast(region, stored=True), F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 def _customer_cols(
