@@ -7,6 +7,7 @@ key never sends all of its rows to one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -83,19 +84,29 @@ def rule_counts(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame
     )
 
 
-def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+#: Key values that one task counts, and the shares that the rows of a hot key are dealt over before.
+KEYS_PER_TASK, KEY_SHARES = 500_000, 16
+
+
+def key_violations(df: DataFrame, keys: Sequence[str], rows: int = 0) -> DataFrame:
     """Primary-key check: every key value seen more than once or containing a NULL.
 
-    Output: the key columns and ``n_rows``. Empty when the key is a valid primary key.
+    Output: the key columns and ``n_rows``. Empty when the key is a valid primary key. ``rows`` is about the
+    number of rows, if known: with more than the shuffle partitions hold at ``KEYS_PER_TASK`` each, the keys are
+    dealt over as many tasks as they need, first in shares, so that a hot key is not one task's.
     """
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .filter((F.col("n_rows") > 1) | any_null)
-    )
+    tasks = math.ceil(rows / KEYS_PER_TASK)
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        share = F.pmod(F.spark_partition_id(), F.lit(KEY_SHARES))
+        parts = df.select(*keys, share.alias("__share")).repartition(tasks, *keys, "__share")
+        parts = parts.groupBy(*keys, "__share").agg(F.count(F.lit(1)).alias("__n"))
+        counted = parts.repartition(tasks, *keys).groupBy(*keys).agg(F.sum("__n").alias("n_rows"))
+    else:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.filter((F.col("n_rows") > 1) | any_null)
 
 
 def orphans(

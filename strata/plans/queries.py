@@ -188,16 +188,17 @@ def _key_text(keys: list[str]):
 
 
 def q_pk_check(spark, sf_dir):
+    n = {name: _t(spark, sf_dir, name).count() for name in ("orders", "lineitem", "part", "customer")}
     checks = [
-        ("silver_orders", _orders(spark, sf_dir), ["order_id"]),
-        ("silver_order_items", _items(spark, sf_dir), ["order_id", "order_item_id"]),
-        ("silver_product_category", _category(spark, sf_dir), ["product_category_name"]),
-        ("dim_customers", gold.dim_customers(_history(spark, sf_dir)), ["customer_id"]),
-        ("dim_products", gold.dim_products(_products(spark, sf_dir)), ["product_id"]),
+        ("silver_orders", _orders(spark, sf_dir), ["order_id"], n["orders"]),
+        ("silver_order_items", _items(spark, sf_dir), ["order_id", "order_item_id"], n["lineitem"]),
+        ("silver_product_category", _category(spark, sf_dir), ["product_category_name"], 0),
+        ("dim_customers", gold.dim_customers(_history(spark, sf_dir)), ["customer_id"], n["customer"]),
+        ("dim_products", gold.dim_products(_products(spark, sf_dir)), ["product_id"], n["part"]),
     ]
     out = None
-    for name, df, keys in checks:
-        v = quality.key_violations(df, keys).select(
+    for name, df, keys, rows in checks:
+        v = quality.key_violations(df, keys, rows).select(
             F.lit(name).alias("dataset"), _key_text(keys), "n_rows")
         out = v if out is None else out.unionByName(v)
     return out

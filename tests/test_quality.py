@@ -55,3 +55,13 @@ def test_schema_mismatches():
     assert set(quality.schema_mismatches(have, want)) == {
         ("a", "int", "bigint"), ("b", "string", "<missing>"), ("c", "<absent>", "string")}
     assert quality.schema_mismatches(want, want) == []
+
+
+def test_key_check_deals_many_keys_over_as_many_tasks_as_they_need(spark, capsys):
+    df = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 'hot' WHEN id = 1500 THEN NULL ELSE CAST(id AS STRING) END AS k")
+    few, many = (quality.key_violations(df, ["k"], rows) for rows in (0, 20 * quality.KEYS_PER_TASK))
+    want = [("hot", 1000), (None, 1)]
+    assert [sorted(map(tuple, x.collect()), key=str) for x in (few, many)] == [sorted(want, key=str)] * 2
+    quality.key_violations(df, ["k"], 20 * quality.KEYS_PER_TASK).explain()  # not run yet
+    plan = capsys.readouterr().out
+    assert plan.count("hashpartitioning(k") == 2 and ", 20)" in plan and "__share" in plan
