@@ -8,9 +8,11 @@ tests, a laptop) do we pick a local folder ourselves.
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,34 @@ DEFAULT_CONF = {
 }
 
 
+#: State of stream-stream joins: RocksDB, the four stores of a join's partition as column families of one
+#: instance, and a commit that uploads a log of what changed, not new snapshots of the files.
+JOIN_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"],
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+#: Without a count of the rows in state, a write looks no old value up.
+UNCOUNTED_STATE_CONF = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of the block. A streaming query that is started in it keeps them, for it
+    works on a copy of the session; a checkpoint keeps the state format that it began with."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def build_session(
     app: str = "strata",
     master: str | None = None,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.session import hadoop_fs
+from strata.session import JOIN_STATE_CONF, UNCOUNTED_STATE_CONF, hadoop_fs, settings
 from strata.sources.csv_feed import MAX_BYTES_PER_TRIGGER
 
 
@@ -237,11 +237,13 @@ def append_stream(
     path: str,
     checkpoint: str,
     query_name: str | None = None,
+    count_state: bool = True,
 ) -> StreamingQuery:
     """Append every new row of ``df`` to the Parquet table at ``path`` once, by Spark's file sink.
 
     The sink logs committed files under ``_spark_metadata``, so a batch replayed after a failure is not
-    written twice and readers never see half a batch.
+    written twice and readers never see half a batch. Join state is kept as ``JOIN_STATE_CONF`` says;
+    ``count_state`` False leaves the number of its rows out of the progress, which makes writes cheaper.
     """
     writer = (
         df.writeStream.option("checkpointLocation", checkpoint)
@@ -251,7 +253,8 @@ def append_stream(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start(path)
+    with settings(df.sparkSession, JOIN_STATE_CONF | ({} if count_state else UNCOUNTED_STATE_CONF)):
+        return writer.start(path)
 
 
 def run_once(query: StreamingQuery) -> StreamingQuery:
