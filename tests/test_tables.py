@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.config import ENTITIES
 from strata.operators.quality import schema_mismatches
+from strata.sources.buckets import BucketTable
 from strata.sources.tables import (
     TableStore, batch_folder, drain, list_names, merge_batches, read_snapshot, read_stream, remove,
     write_batch, write_clustered,
@@ -126,3 +127,13 @@ def test_scratch_needs_a_shared_folder_off_local_masters(monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.scratch_root(Session())
+
+
+def test_buckets_are_dealt_out_without_a_pass_for_ranges(spark, scratch, capsys):
+    table = BucketTable(spark, f"{scratch('buckets')}/t", ["k"], buckets=4)
+    rows = spark.range(100).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    table._arranged(rows.withColumn("bucket", table.bucket())).explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(bucket" in plan and "rangepartitioning" not in plan
+    table.replace(rows, table.hit(rows), "a")
+    assert sorted(r.v for r in table.read().collect()) == list(range(100))
