@@ -1,7 +1,7 @@
 """Token ids in a static range asymmetric numeral system (rANS) store.
 
-Documents are range-partitioned and sorted by doc_id, tokenised, and cut into blocks of whole
-documents. One pass over all blocks counts the ids; from the counts comes one shared frequency
+Documents are range-partitioned and sorted by doc_id, tokenised (by chunks that a worker remembers),
+and put into blocks of whole documents. One pass over all blocks counts the ids; from the counts comes one shared frequency
 table (2^20 slots, every id that occurs has one at least). Each block is then coded by itself:
 ``lanes`` interleaved 64-bit states that give off 32-bit words, a checkpoint (word position and all
 states) every ``STEP`` steps, a CRC of the coded bytes and one of the ids. A reader opens any block
@@ -18,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -25,44 +26,154 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Shared, arrow_schema, give_back, parts_for, slices, small_batches, text_bytes, to_batch
+from .common import Shared, arrow_schema, gathered, give_back, parts_for, small_batches, text_bytes, to_batch
 
 PART_BYTES = 16 << 20
 BLOCK_TOKENS = 1 << 18
 SCALE, LOW = np.uint64(20), np.uint64(1 << 31)
 MAX_LANES, STEP = 1024, 128
 WORD = np.uint64(32)
-#: Chunks in each of the two generations that a worker remembers, and the longest remembered.
-KNOWN_CHUNKS, LONG_CHUNK = 350_000, 64
+#: Chunks in each of the two generations that a worker remembers, and the bytes of the longest remembered.
+KNOWN_CHUNKS, LONG_CHUNK = 600_000, 64
+#: Bytes of text that are tokenised at a time, and how many chunks' ids are put together at a time.
+ENCODE_BYTES, SPREAD_CHUNKS = 16 << 20, 1 << 18
 
 
 # -- tokenising ---------------------------------------------------------------------------
 
-#: Blanks followed by more white space (whatever Python or Unicode count as such).
-_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
-_AFTER_BLANK = [" " + c for c in _SPACE]
-_CUT = re.compile(" (?=\\S)")
+def _kinds() -> np.ndarray:
+    """Of each byte: LETTER (A-Z, a-z), MARK (other printable ASCII), SPACE (ASCII that Python or Unicode count as
+    white space); 0 for the rest."""
+    kinds = np.zeros(256, np.uint8)
+    for c in range(128):
+        kinds[c] = SPACE if chr(c).isspace() else LETTER if chr(c).isalpha() else MARK if 0x20 < c < 0x7F else 0
+    return kinds
+
+
+LETTER, MARK, SPACE = 1, 2, 4
+_KINDS = _kinds()
+#: Whether the characters of two bytes are letters.
+_LETTERS = np.array([category(chr(c))[0] == "L" for c in range(0x800)])
+#: A blank or none, and letters of one or two bytes: one piece, whatever stands around it.
+_WORD = re.compile(" ?[" + "".join(map(chr, np.flatnonzero(_LETTERS))) + "]+").fullmatch
+#: Beginnings of the wide white space, as the first three bytes (the third is 0 after two).
+_WIDE = np.array([int.from_bytes(chr(c).encode().ljust(3, b"\0"), "big") for c in range(0x80, 0x3001) if chr(c).isspace()])
+_WIDE_LEADS = np.isin(np.arange(256), _WIDE >> 16)
+
+
+def _no_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether no white space begins at these places of a text (its end counts as none)."""
+    padded = lambda k: data[np.minimum(at + k, len(data) - 1)].astype(np.int64)
+    lead = padded(0)
+    out = _KINDS[lead] != SPACE
+    wide = np.flatnonzero(_WIDE_LEADS[lead])
+    if len(wide):
+        at = at[wide]
+        out[wide] = ~np.isin(lead[wide] << 16 | padded(1) << 8 | np.where(lead[wide] < 0xE0, 0, padded(2)), _WIDE)
+    return out
+
+
+def cut(texts: pa.Array, whole: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """Cut texts into chunks that the tokenizer's pattern never joins, so that they can be tokenised one by one;
+    the chunks as bytes, and how many there are up to the end of each text. ``whole``: texts not to be cut.
+
+    The pattern is that of byte-level BPE: contractions, ``_?L+``, ``_?N+``, ``_?[^sLN]+`` (a blank, then letters,
+    numbers, or others), white space but the last before a non-space, white space. A new piece starts, whatever
+    stands before or after,
+    - at a blank that a non-space follows,
+    - at a mark or digit after a letter: only a letter continues a piece that ends with one,
+    - at a line feed after a mark, digit or letter, and after it if a non-space follows.
+    What stands before such a place does not end with white space, or is white space that matches alike at the end
+    of a text. Places missed (letters of three bytes and more) make chunks longer, not wrong."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    offsets, first = offsets - offsets[0], offsets[0]
+    n = int(offsets[-1])
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[first:first + n] if n else np.zeros(0, np.uint8)
+    starts = np.zeros(n + 1, bool)
+    if n:
+        ends = offsets[1:][np.diff(offsets) > 0] - 1
+        kinds = _KINDS[data]
+        blanks = data == 0x20
+        blanks[ends] = False
+        at = np.flatnonzero(blanks)
+        starts[at[_no_space(data, at + 1)]] = True
+        marks = kinds[1:] == MARK
+        starts[1:n] |= marks & (kinds[:-1] == LETTER)
+        at = np.flatnonzero(marks[1:] & (data[1:-1] >= 0x80)) + 2  # marks after the second byte of a character or a later one
+        lead = data[at - 2].astype(np.int64)
+        at, lead = at[lead >> 5 == 6], lead[lead >> 5 == 6]
+        starts[at[_LETTERS[(lead & 0x1F) << 6 | data[at - 1] & 0x3F]]] = True
+        at = np.flatnonzero((data[1:] == 0x0A) & (kinds[:-1] & (LETTER | MARK) > 0)) + 1
+        starts[at] = True
+        at = at[at < n - 1]
+        starts[at[_no_space(data, at + 1)] + 1] = True
+        for k in () if whole is None else np.flatnonzero(whole):
+            starts[offsets[k]:offsets[k + 1]] = False
+    starts[offsets] = True
+    places = np.flatnonzero(starts).astype(np.int32)
+    if not n:
+        places = np.zeros(1, np.int32)
+    chunks = pa.Array.from_buffers(
+        pa.binary(), len(places) - 1, [None, pa.py_buffer(places + first), texts.buffers()[2] or pa.py_buffer(b"")])
+    return chunks, np.searchsorted(places, offsets[1:])
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """What byte-level tokenizers write for each byte: itself if it prints, else a character from U+0100 on. Line
+    feeds stay, to separate words."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(0x100 + k) for k, b in enumerate(rest) if b != 0x0A}
+
 
+class Known:
+    """Chunks and their ids: ``ids[ends[k]:ends[k + 1]]`` are those of ``keys[k]``. Flat arrays, some 30 bytes a
+    chunk, which Arrow searches many chunks at a time."""
 
-def chunks(text: str) -> list[str]:
-    """Cut before every blank that a non-space follows, and drop that blank. The tokenizer's
-    pattern starts a new piece at each of these blanks whatever stands before it, so chunks can
-    be tokenised one by one."""
-    if text.endswith(" ") or any(x in text for x in _AFTER_BLANK):
-        return _CUT.split(text)
-    return text.split(" ")
+    def __init__(self, keys: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.keys, self.ids, self.ends = keys, ids, ends
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, wanted: pa.Array) -> np.ndarray:
+        """Places of the wanted chunks, -1 for those that are not here."""
+        if not len(self):
+            return np.full(len(wanted), -1)
+        return pc.fill_null(pc.index_in(wanted, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def pick(self, places: np.ndarray) -> Known:
+        ids, counts = spread(self.ids, self.ends[places], np.diff(self.ends)[places])
+        return Known(self.keys.take(pa.array(places)), ids, np.append(0, np.cumsum(counts)))
+
+    @staticmethod
+    def joined(parts: list[Known]) -> Known:
+        counts = np.concatenate([np.diff(p.ends) for p in parts])
+        return Known(pa.concat_arrays([p.keys for p in parts]), np.concatenate([p.ids for p in parts]),
+                     np.append(0, np.cumsum(counts)))
+
+
+def spread(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``counts`` ids from each of ``starts``, one stretch after the other; and the counts."""
+    stops = np.cumsum(counts)
+    at = np.repeat(starts - (stops - counts), counts)
+    at += np.arange(len(at))
+    return ids[at], counts
 
 
 class ChunkTokenizer:
     """Tokenises by chunks and remembers them: natural text repeats its words. All ids come
-    from the tokenizer; a chunk's ids are kept as little-endian bytes."""
+    from the tokenizer, which gets each new chunk as a text of its own."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
@@ -70,49 +181,77 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.leads = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.leads[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # byte-level blank
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        """Ids of chunks that follow a blank, many in one call. The first id of such a chunk is one
-        that stands for a blank and what follows, and no other id of a chunk without blanks is."""
-        some = [c for c in new if " " not in c]
-        for at in range(0, len(some), 512):
-            part = some[at:at + 512]
-            coded = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0]
-            ids = np.array(coded.ids, self.dtype)
-            cuts = np.flatnonzero(self.leads[ids])
-            if len(cuts) != len(part):
-                raise ValueError("this tokenizer does not start a piece at every blank")
-            raw, width = ids.tobytes(), ids.itemsize
-            ends = (np.append(cuts, len(ids)) * width).tolist()
-            self.known.update(zip(part, (raw[s:e] for s, e in zip(ends, ends[1:]))))
-        for c in new:
-            if " " in c:
-                self.known[c] = self._bytes(self.tokenizer.encode(" " + c, add_special_tokens=False).ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.size = max(self.tokenizer.get_vocab().values()) + 1
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        config = json.loads(self.tokenizer.to_str())
+        before = config["pre_tokenizer"] or {}
+        #: Whether the tokenizer has the pattern that ``cut`` knows; texts of others stay whole.
+        self.cuts = (config["normalizer"] is None and before.get("type") == "ByteLevel"
+                     and before.get("use_regex", True) and not before.get("add_prefix_space"))
+        self.alphabet = _byte_alphabet()
+        self.known = self.older = self._none()
+
+    def _none(self) -> Known:
+        return Known(pa.array([], pa.binary()), np.zeros(0, self.dtype), np.zeros(1, np.int64))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of a few thousand chunks. Words go to the tokenizer's model as they are, in its byte alphabet: its
+        pattern would leave them whole. All others go the whole way."""
+        words = [bool(self.cuts and _WORD(t)) for t in texts]
+        rest = self.tokenizer.encode_batch_fast(
+            [t for t, word in zip(texts, words) if not word], add_special_tokens=False)
+        out, rest = [], iter(rest)
+        written = iter("\n".join(compress(texts, words)).encode().decode("latin-1").translate(self.alphabet).split("\n"))
+        model = self.tokenizer.model.tokenize
+        for word in words:
+            out.append([t.id for t in model(next(written))] if word else next(rest).ids)
+        return out
+
+    def _learn(self, new: pa.Array) -> Known:
+        ids, counts = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for at in range(0, len(new), 4096):
+            own = self._ids([c.decode() for c in new.slice(at, 4096).to_pylist()])
+            counts.append(np.fromiter(map(len, own), np.int64, len(own)))
+            ids.append(np.fromiter(chain.from_iterable(own), self.dtype, int(counts[-1].sum())))
+        return Known(new, np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(counts))))
+
+    def _look_up(self, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each wanted chunk start and how many they are."""
         if len(self.known) > KNOWN_CHUNKS:  # what is in use comes back from the older generation
-            self.known, self.older = {}, self.known
-        split = [chunks(t) for t in texts]
-        heads = self.tokenizer.encode_batch_fast([c[0] for c in split], add_special_tokens=False)
-        tails = [c[1:] for c in split]
-        new = set().union(*tails) - self.known.keys()
-        back = new & self.older.keys()
-        self.known.update((c, self.older[c]) for c in back)
-        self._learn(list(new - back))
-        known = self.known.__getitem__
-        out = [self._bytes(h.ids) + b"".join(map(known, t)) for h, t in zip(heads, tails)]
-        for c in new:
-            if len(c) > LONG_CHUNK:
-                del self.known[c]
+            self.known, self.older = self._none(), self.known
+        place = self.known.find(wanted)
+        missing = np.flatnonzero(place < 0)
+        older = self.older.find(wanted.take(pa.array(missing)))
+        back, new = missing[older >= 0], missing[older < 0]
+        parts = [self.known, self.older.pick(older[older >= 0]), self._learn(wanted.take(pa.array(new)))]
+        place[back] = len(parts[0]) + np.arange(len(back))
+        place[new] = len(parts[0]) + len(back) + np.arange(len(new))
+        every = Known.joined(parts)
+        long = pc.greater(pc.binary_length(every.keys), LONG_CHUNK).to_numpy(zero_copy_only=False)
+        self.known = every.pick(np.flatnonzero(~long)) if long.any() else every
+        return every.ids, every.ends[place], np.diff(every.ends)[place]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text, as little-endian bytes."""
+        texts = pc.fill_null(texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        whole = np.full(len(texts), not self.cuts)
+        for content in self.added:  # found before the pattern applies, and may cross its pieces
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        chunks, ends = cut(texts, whole)
+        coded = chunks.dictionary_encode()
+        of = coded.indices.to_numpy(zero_copy_only=False)
+        ids, starts, counts = self._look_up(coded.dictionary)
+        ends, lo, out = np.append(0, ends), 0, []
+        while lo < len(texts):  # bounds what is spread at once
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + SPREAD_CHUNKS, side="right")) - 1)
+            some = of[ends[lo]:ends[hi]]
+            flat, each = spread(ids, starts[some], counts[some])
+            raw = memoryview(flat.view(np.uint8))
+            bounds = (np.append(0, np.cumsum(each))[ends[lo:hi + 1] - ends[lo]] * flat.itemsize).tolist()
+            out += [bytes(raw[s:e]) for s, e in zip(bounds, bounds[1:])]
+            lo = hi
         return out
 
 
@@ -147,7 +286,7 @@ def token_blocks(
         width = len(end)
         part, block = TaskContext.get().partitionId(), 0
         ids, lengths, held, size = [], [], [], 0
-        counts = np.zeros(len(tokenizer.leads), np.int64)
+        counts = np.zeros(tokenizer.size, np.int64)
 
         def row() -> pa.RecordBatch:
             nonlocal counts
@@ -157,18 +296,18 @@ def token_blocks(
             return to_batch({"part": [part], "block": [block], "doc_ids": [ids], "lengths": [lengths],
                              "ids": [joined], "counts": [None]}, target)
 
-        for batch in batches:
-            for some, _ in slices(batch, "text", 2 << 20):
-                coded = tokenizer.encode(some.column("text").to_pylist())
-                for doc, own in zip(some.column("doc_id").to_pylist(), coded):
-                    n = len(own) // width + 1
-                    if size and size + n > block_tokens:
-                        yield row()
-                        ids, lengths, held, size, block = [], [], [], 0, block + 1
-                    ids.append(doc)
-                    lengths.append(n)
-                    held += [own, end]
-                    size += n
+        for some in gathered(batches, "text", ENCODE_BYTES):
+            docs = pa.Table.from_batches(some)
+            coded = tokenizer.encode(pa.concat_arrays(docs.column("text").chunks))
+            for doc, own in zip(docs.column("doc_id").to_pylist(), coded):
+                n = len(own) // width + 1
+                if size and size + n > block_tokens:
+                    yield row()
+                    ids, lengths, held, size, block = [], [], [], 0, block + 1
+                ids.append(doc)
+                lengths.append(n)
+                held += [own, end]
+                size += n
         if ids:
             yield row()
             used = np.flatnonzero(counts)
