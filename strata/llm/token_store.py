@@ -1,11 +1,11 @@
 """Token ids in a static range asymmetric numeral system (rANS) store.
 
 Documents are range-partitioned and sorted by doc_id, tokenised (by chunks that a worker remembers),
-and put into blocks of whole documents. One pass over all blocks counts the ids; from the counts comes one shared frequency
-table (2^20 slots, every id that occurs has one at least). Each block is then coded by itself:
-``lanes`` interleaved 64-bit states that give off 32-bit words, a checkpoint (word position and all
-states) every ``STEP`` steps, a CRC of the coded bytes and one of the ids. A reader opens any block
-alone, and within a block decodes all checkpoints side by side.
+and put into blocks of whole documents. One pass over all blocks counts the ids; from the counts
+comes one shared frequency table (2^20 slots, every id that occurs has one at least). Each block is
+then coded by itself: ``lanes`` interleaved 64-bit states that give off 32-bit words, a checkpoint
+(word position and all states) every ``STEP`` steps, a CRC of the coded bytes and one of the ids. A
+reader opens any block alone, and within a block decodes all checkpoints side by side.
 
 Store folder: ``frequencies`` (id, slots) and ``blocks`` (part, block, n_tokens, doc_ids, lengths,
 payload), both Parquet, so any cluster store works; the payload format is given at ``encode_block``.
