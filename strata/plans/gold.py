@@ -36,6 +36,9 @@ FACT_COLUMNS = [
     "product_category_name", "product_category_name_english", "product_volume_cm3",
 ]
 
+#: Columns by which one input of the fact refers to another.
+FACT_LINKS = {("items", "orders"): "order_id", ("items", "products"): "product_id", ("orders", "customers"): "customer_id"}
+
 
 def customer_history(preprocessed: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """SCD2 history of customers keyed by ``customer_id``, sequenced by ingest time;

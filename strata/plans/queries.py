@@ -23,7 +23,7 @@ from strata.operators import changes, quality, scd2
 from strata.operators.joins import join_by_salts, salt_table, salted_join, sized_broadcast
 from strata.plans import feeds, gold, silver
 from strata.plans.bronze import ingest
-from strata.session import scratch_dir
+from strata.session import LEAN_CONF, scratch_dir, settings
 from strata.sources.csv_feed import write_csv_feed
 from strata.sources.buckets import BucketTable
 from strata.sources.tables import (
@@ -34,6 +34,7 @@ from strata.streaming.key_checks import ForeignKey, KeySummary
 from strata.streaming.runner import RunReport, products_stream, run_layers, silver_stream
 from strata.streaming.scd2_incremental import IncrementalHistory
 from strata.streaming.star import Stored
+from strata.streaming.stored_join import StoredJoin
 
 #: Time bound of the bounded streaming fact, and the lateness its watermarks allow.
 MAX_GAP, LATENESS = "60 days", "30 days"
@@ -401,13 +402,16 @@ def _fact_inputs(spark, sf_dir) -> dict[str, DataFrame]:
 def q_fct_order_items_stream(spark, sf_dir):
     """Fact from four streams (stream-stream inner joins), each fed in several batches."""
     root = scratch_dir(spark, "fact-stream")
-    streams = {name: _stream_files(df, f"{root}/{name}", 3)
-               for name, df in _fact_inputs(spark, sf_dir).items()}
-    fact = gold.fct_order_items(
-        streams["items"], streams["orders"], streams["customers"], streams["products"])
-    out = f"{root}/fct_order_items"
-    run_once(append_stream(fact, out, f"{root}/_chk", count_state=False))
-    return edge(read_snapshot(spark, out))
+    with settings(spark, LEAN_CONF):
+        streams = {name: _stream_files(df, f"{root}/{name}", 3)
+                   for name, df in _fact_inputs(spark, sf_dir).items()}
+
+        def join(items, orders, customers, products):
+            return gold.fct_order_items(items, orders, customers, sized_broadcast(products, stored=True))
+
+        fact = StoredJoin(spark, f"{root}/fact", join, gold.FACT_LINKS)
+        fact.run({name: streams[name] for name in ("products", "customers", "orders", "items")})
+    return edge(fact.read())
 
 
 def _by_time(df: DataFrame, time: str, deliveries: int, late_by: int) -> DataFrame:

@@ -46,6 +46,12 @@ JOIN_STATE_CONF = {
 }
 #: Without a count of the rows in state, a write looks no old value up.
 UNCOUNTED_STATE_CONF = {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+#: For jobs that write table after table: the files of a shuffle go when the job that made it ends, not when the
+#: driver happens to collect its garbage, and tables are packed closer.
+LEAN_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 
 
 @contextlib.contextmanager
